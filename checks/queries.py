@@ -311,8 +311,7 @@ def cast_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = rejects(_orders_with_priority_text(spark, sf_dir), PRIORITY_NUMBER)
-    return found.withColumn("_columns", F.array_join("_columns", ","))
+    return rejects(_orders_with_priority_text(spark, sf_dir), PRIORITY_NUMBER)
 
 
 # --- duplicates -------------------------------------------------------------

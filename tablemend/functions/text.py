@@ -1,4 +1,4 @@
-"""Column helpers for names, blank texts and relative paths."""
+"""Helpers for names, blank texts and relative paths."""
 
 from __future__ import annotations
 
@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 _NOT_BLANK = r"(?U)[^\s\x1C-\x1F]"
 
 
+def quoted(name: str) -> str:
+    """A column's exact name as SQL text, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
     """A column by its exact name, whatever characters it has."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def has_text(value: Column) -> Column:

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemend.contract import Catalog, ContractError
-from tablemend.functions.text import named
+from tablemend.functions.text import quoted
 from tablemend.operators.keys import with_key_not_in
 
 Collisions = Literal["raise", "suffix", "first"]
 
+_KEY = "__dependent_key"
+
 
 def left_join(
     main: DataFrame,
@@ -35,29 +37,23 @@ def left_join(
     split on both sides.
     """
     dependent_key = dependent_key or on
-    extra = [c for c in dependent.columns if c != dependent_key]
-    shared = [c for c in extra if c in main.columns]
+    shared = [c for c in dependent.columns if c != dependent_key and c in main.columns]
     if shared and collisions == "raise":
         raise ContractError(f"columns on both sides of the join: {shared}")
-    if collisions == "first":
-        extra = [c for c in extra if c not in shared]
-    output = {c: c + suffix if c in shared else c for c in extra}
+    right = dependent.withColumnRenamed(dependent_key, _KEY)
+    if shared and collisions == "first":
+        right = right.drop(*shared)
+    elif shared:
+        right = right.withColumnsRenamed({c: c + suffix for c in shared})
 
-    held = {c: f"__dependent_{i}" for i, c in enumerate(extra)}
-    right = dependent.select(
-        named(dependent_key).alias("__dependent_key"), *[named(c).alias(held[c]) for c in extra]
-    )
-    match = named(on) == F.col("__dependent_key")
-    wanted = [named(c) for c in main.columns] + [
-        F.col(held[c]).alias(output[c], metadata=dependent.schema[c].metadata) for c in extra
-    ]
+    match = F.expr(f"{quoted(on)} = {_KEY}")
     if unique_key:
-        return main.join(right, match, "left").select(wanted)
+        return main.join(right, match, "left").drop(_KEY)
 
-    matched = main.join(right, match, "inner").select(wanted)
-    unmatched = with_key_not_in(main, [on], dependent, [dependent_key])
-    nulls = [F.lit(None).cast(dependent.schema[c].dataType).alias(output[c]) for c in extra]
-    return matched.unionByName(unmatched.select("*", *nulls))
+    matched = main.join(right, match, "inner").drop(_KEY)
+    unmatched = with_key_not_in(main, [on], right, [_KEY])
+    nulls = {f.name: F.lit(None).cast(f.dataType) for f in right.schema if f.name != _KEY}
+    return matched.unionByName(unmatched.withColumns(nulls))
 
 
 def join_all(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemend.functions.text import named
-from tablemend.operators.keys import with_key_not_in
+from tablemend.functions.text import quoted
+from tablemend.operators.keys import all_present, with_key_not_in
 
 
 def reduce_to_deepest(
@@ -20,11 +20,11 @@ def reduce_to_deepest(
     repeated links multiply rows.
     """
     parents = (
-        tree.select(named(tree_node).alias("__node"), named(tree_parent).alias("__parent"))
-        .where("__node IS NOT NULL AND __parent IS NOT NULL")
+        tree.where(all_present([tree_node, tree_parent]))
+        .selectExpr(f"{quoted(tree_node)} AS __node", f"{quoted(tree_parent)} AS __parent")
         .distinct()
     )
-    covered = links.join(parents, named(node) == F.col("__node"), "inner").select(
-        named(item).alias("__item"), F.col("__parent")
+    covered = links.join(parents, F.expr(f"{quoted(node)} = __node")).selectExpr(
+        f"{quoted(item)} AS __item", "__parent"
     )
-    return with_key_not_in(links, [item, node], covered, ["__item", "__parent"])
+    return with_key_not_in(links, [item, node], covered, ["__item", "__parent"], spread_by=[item, node])

@@ -19,36 +19,31 @@ Two ways to the same result:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Iterator, Mapping, Sequence
+from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tablemend.contract import CASCADE, SET_NULL, Catalog, ForeignKey, TableSpec
-from tablemend.functions.text import named
-from tablemend.operators.keys import is_set, mark_key, with_key_in, with_key_not_in
+from tablemend.functions.text import named, quoted
+from tablemend.operators.keys import is_set, mark, with_key_in, with_key_not_in
 
 
-@dataclass(frozen=True)
 class Target:
     """A table that foreign keys point at, and its key column."""
 
-    rows: DataFrame
-    key: str
-
-
-@dataclass(frozen=True)
-class Checked:
-    clean: DataFrame
-    quarantine: DataFrame
+    def __init__(self, rows: DataFrame, key: str):
+        self.rows = rows
+        self.key = key
 
 
 def orphans(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
     """Rows whose foreign key is set and refers to nothing."""
-    return with_key_not_in(df.where(is_set(df, fk_column)), [fk_column], target.rows, [target.key])
+    candidates = df.where(is_set(df.schema, fk_column))
+    # Every candidate has a key, so there is nothing to spread.
+    return with_key_not_in(candidates, [fk_column], target.rows, [target.key], spread_by=[fk_column])
 
 
 def broken_keys(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
@@ -56,8 +51,8 @@ def broken_keys(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
 
     Rows are counted before the shuffle, so this moves distinct values only.
     """
-    counted = df.where(is_set(df, fk_column)).groupBy(named(fk_column)).agg(F.count(F.lit(1)).alias("rows"))
-    return with_key_not_in(counted, [fk_column], target.rows, [target.key])
+    counted = df.where(is_set(df.schema, fk_column)).groupBy(named(fk_column)).agg(F.count(F.lit(1)).alias("rows"))
+    return with_key_not_in(counted, [fk_column], target.rows, [target.key], spread_by=[fk_column])
 
 
 def rows_with_keys(df: DataFrame, column: str, keys: DataFrame, key_column: str) -> DataFrame:
@@ -65,44 +60,87 @@ def rows_with_keys(df: DataFrame, column: str, keys: DataFrame, key_column: str)
     return with_key_in(df, [column], keys, [key_column])
 
 
-def _broken_marker(fk: ForeignKey) -> str:
+def _flag(fk: ForeignKey) -> str:
     return f"__broken_{fk.column}"
 
 
-def _mark_broken(
-    df: DataFrame,
-    spec: TableSpec,
-    keys: Sequence[ForeignKey],
-    targets: Mapping[str, Target],
-    broken: Mapping[str, DataFrame] | None,
-) -> DataFrame:
-    spread_by = spec.primary_key or None
-    original = df.columns
-    for fk in keys:
-        marker = _broken_marker(fk)
-        target = targets[fk.target]
-        present = is_set(df, fk.column)
-        if broken is not None:
-            df = mark_key(df, fk.column, broken[fk.column], fk.column, marker, present, spread_by)
-        else:
-            found = mark_key(df, fk.column, target.rows, target.key, marker, present, spread_by)
-            df = found.withColumn(marker, present & ~F.col(marker))
-        # A NULL flag would fall through every filter below.
-        df = df.withColumn(marker, F.coalesce(F.col(marker), F.lit(False)))
-    return df.select(*[named(c) for c in original], *[F.col(_broken_marker(fk)) for fk in keys])
-
-
-def _any(flags: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, flags, F.lit(False))
-
-
-def _clean_value(df: DataFrame, name: str, set_null: Mapping[str, Column], zero_as_null: Sequence[str]) -> Column:
-    value = named(name)
-    if name in zero_as_null and isinstance(df.schema[name].dataType, NumericType):
-        value = F.nullif(value, F.lit(0))
-    if name in set_null:
-        value = F.when(~set_null[name], value)
-    return value.alias(name, metadata=df.schema[name].metadata)
+def _any(keys: Sequence[ForeignKey]) -> str:
+    return " OR ".join(quoted(_flag(fk)) for fk in keys) or "false"
+
+
+class Checked:
+    """One table against its targets: ``clean`` rows and the ``quarantine``, each built when first used.
+
+    Keys apply in declared order: a row dropped by one key is not reported by a
+    later one.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        spec: TableSpec,
+        targets: Mapping[str, Target],
+        zero_as_null: bool = False,
+        broken: Mapping[str, DataFrame] | None = None,
+    ):
+        self._df = df
+        self._spec = spec
+        self._targets = targets
+        self._zero_as_null = zero_as_null
+        self._broken = broken
+        self._keys = [fk for fk in spec.foreign_keys if fk.target in targets]
+
+    def _marked(self, keys: Sequence[ForeignKey]) -> DataFrame:
+        """The table with a flag per foreign key that tells whether it is broken."""
+        df = self._df
+        schema, spread_by = df.schema, self._spec.primary_key or None
+        for fk in keys:
+            present = is_set(schema, fk.column)
+            if self._broken is None:
+                target = self._targets[fk.target]
+                df = mark(df, fk.column, target.rows, target.key, _flag(fk), present, spread_by, missing=True)
+            else:
+                df = mark(df, fk.column, self._broken[fk.column], fk.column, _flag(fk), present, spread_by)
+        return df
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        # A policy that changes nothing needs no look at the target.
+        acting = [fk for fk in self._keys if fk.on_delete in (CASCADE, SET_NULL)]
+        cascading = [fk for fk in acting if fk.on_delete == CASCADE]
+        marked = self._marked(acting)
+        if cascading:
+            marked = marked.where(f"NOT ({_any(cascading)})")
+        schema = self._df.schema
+        values = {}
+        for fk in self._keys:
+            value = quoted(fk.column)
+            if self._zero_as_null and isinstance(schema[fk.column].dataType, NumericType):
+                value = f"nullif({value}, 0)"
+            if fk.on_delete == SET_NULL:
+                value = f"CASE WHEN NOT {quoted(_flag(fk))} THEN {value} END"
+            if value != quoted(fk.column):
+                values[fk.column] = F.expr(value).alias(fk.column, metadata=schema[fk.column].metadata)
+        return (marked.withColumns(values) if values else marked).drop(*map(_flag, acting))
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        if not self._keys:
+            labels = ", ".join(f"'' AS {c}" for c in ("_fk", "_target", "_policy"))
+            return self._df.where("false").selectExpr("*", f"'{self._spec.name}' AS _table", *labels.split(", "))
+        faults = []
+        for i, fk in enumerate(self._keys):
+            fault = f"struct('{fk.column}' AS _fk, '{fk.target}' AS _target, '{fk.on_delete}' AS _policy)"
+            gone = _any([k for k in self._keys[:i] if k.on_delete == CASCADE])
+            faults.append(f"CASE WHEN {quoted(_flag(fk))} AND NOT ({gone}) THEN {fault} END")
+        return (
+            self._marked(self._keys)
+            .where(_any(self._keys))
+            .selectExpr("*", f"'{self._spec.name}' AS _table", f"explode(array({', '.join(faults)})) AS __fault")
+            .where("__fault IS NOT NULL")
+            .selectExpr("*", "__fault.*")
+            .drop("__fault", *map(_flag, self._keys))
+        )
 
 
 def enforce(
@@ -114,52 +152,17 @@ def enforce(
 ) -> Checked:
     """Enforce all foreign keys of one table whose target is at hand.
 
-    Keys apply in declared order: a row dropped by one key is not reported by
-    a later one. ``zero_as_null`` also clears keys that hold 0 for "not set".
-    ``work_dir`` (a shared folder) selects the two-pass way.
+    ``zero_as_null`` also clears keys that hold 0 for "not set". ``work_dir``
+    (a shared folder) selects the two-pass way, whose first pass runs now.
     """
-    keys = [fk for fk in spec.foreign_keys if fk.target in targets]
     broken = None
     if work_dir is not None:
-        broken = {fk.column: _written_broken_keys(df, spec, fk, targets[fk.target], work_dir) for fk in keys}
-
-    acting = [fk for fk in keys if fk.on_delete in (CASCADE, SET_NULL)]
-    marked = _mark_broken(df, spec, acting, targets, broken)
-    dropped = _any([F.col(_broken_marker(fk)) for fk in acting if fk.on_delete == CASCADE])
-    cleared = {fk.column: F.col(_broken_marker(fk)) for fk in acting if fk.on_delete == SET_NULL}
-    zero_columns = [fk.column for fk in keys] if zero_as_null else []
-    clean = marked.where(~dropped).select([_clean_value(df, c, cleared, zero_columns) for c in df.columns])
-
-    return Checked(clean, _quarantine(df, spec, keys, targets, broken))
-
-
-def _quarantine(
-    df: DataFrame,
-    spec: TableSpec,
-    keys: Sequence[ForeignKey],
-    targets: Mapping[str, Target],
-    broken: Mapping[str, DataFrame] | None,
-) -> DataFrame:
-    if not keys:
-        empty = df.where(F.lit(False))
-        labels = [F.lit(spec.name).alias("_table")] + [F.lit("").alias(c) for c in ("_fk", "_target", "_policy")]
-        return empty.select("*", *labels)
-    marked = _mark_broken(df, spec, keys, targets, broken)
-    gone = F.lit(False)
-    faults = []
-    for fk in keys:
-        fault = F.struct(
-            F.lit(fk.column).alias("_fk"), F.lit(fk.target).alias("_target"), F.lit(fk.on_delete).alias("_policy")
-        )
-        is_broken = F.col(_broken_marker(fk))
-        faults.append(F.when(is_broken & ~gone, fault))
-        if fk.on_delete == CASCADE:
-            gone = gone | is_broken
-    return (
-        marked.where(_any([F.col(_broken_marker(fk)) for fk in keys]))
-        .select(*[named(c) for c in df.columns], F.explode(F.array_compact(F.array(*faults))).alias("__fault"))
-        .select(*[named(c) for c in df.columns], F.lit(spec.name).alias("_table"), "__fault.*")
-    )
+        broken = {
+            fk.column: _written_broken_keys(df, spec, fk, targets[fk.target], work_dir)
+            for fk in spec.foreign_keys
+            if fk.target in targets
+        }
+    return Checked(df, spec, targets, zero_as_null, broken)
 
 
 def _written_broken_keys(
@@ -171,13 +174,29 @@ def _written_broken_keys(
     return df.sparkSession.read.schema(keys.schema).parquet(path)
 
 
+class Quarantine(Mapping[str, DataFrame]):
+    """Broken rows by table; each table's rows are planned when first asked for."""
+
+    def __init__(self, checked: Mapping[str, Checked]):
+        self._checked = checked
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._checked[name].quarantine
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._checked)
+
+    def __len__(self) -> int:
+        return len(self._checked)
+
+
 def sweep(
     catalog: Catalog,
     tables: Mapping[str, DataFrame],
     transitive: bool = False,
     zero_as_null: bool = False,
     work_dir: str | None = None,
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+) -> tuple[dict[str, DataFrame], Quarantine]:
     """Enforce the foreign keys of every table; returns clean tables and quarantines by table.
 
     Targets are the tables as given, so a dropped row does not orphan the rows
@@ -185,7 +204,7 @@ def sweep(
     does. Keys whose target is not among the tables are skipped.
     """
     clean = dict(tables)
-    quarantine: dict[str, DataFrame] = {}
+    checked: dict[str, Checked] = {}
     for name in catalog.load_order(tables) if transitive else list(tables):
         spec = catalog[name]
         source = clean if transitive else tables
@@ -195,14 +214,12 @@ def sweep(
             if fk.target in source
         }
         if targets:
-            checked = enforce(tables[name], spec, targets, zero_as_null, work_dir)
-            clean[name], quarantine[name] = checked.clean, checked.quarantine
-    return clean, quarantine
+            checked[name] = enforce(tables[name], spec, targets, zero_as_null, work_dir)
+            clean[name] = checked[name].clean
+    return clean, Quarantine(checked)
 
 
 def orphan_counts(quarantine: Mapping[str, DataFrame]) -> DataFrame | None:
     """Broken rows per table and foreign key: ``(_table, _fk, rows)``; None when no table has keys."""
-    counts = [
-        q.groupBy("_table", "_fk").agg(F.count(F.lit(1)).alias("rows")) for q in quarantine.values()
-    ]
+    counts = [q.groupBy("_table", "_fk").agg(F.count(F.lit(1)).alias("rows")) for q in quarantine.values()]
     return reduce(DataFrame.unionByName, counts) if counts else None

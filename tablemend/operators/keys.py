@@ -21,31 +21,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, NumericType
+from pyspark.sql.types import IntegralType, MapType, NumericType, StructType
 
-from tablemend.functions.text import named
+from tablemend.contract import ContractError
+from tablemend.functions.text import named, quoted
 
 
-def is_set(df: DataFrame, column: str) -> Column:
-    """A foreign key is set when it is not NULL and, for numbers, not 0."""
-    value = named(column)
-    if isinstance(df.schema[column].dataType, NumericType):
-        return value.isNotNull() & (value != 0)
-    return value.isNotNull()
+def is_set(schema: StructType, column: str) -> str:
+    """SQL condition: a foreign key is set when it is not NULL and, for numbers, not 0."""
+    value = quoted(column)
+    if isinstance(schema[column].dataType, NumericType):
+        return f"({value} IS NOT NULL AND {value} <> 0)"
+    return f"({value} IS NOT NULL)"
 
 
-def _all_present(columns: Sequence[str]) -> Column:
-    present = named(columns[0]).isNotNull()
-    for name in columns[1:]:
-        present = present & named(name).isNotNull()
-    return present
+def all_present(columns: Sequence[str]) -> str:
+    return "(" + " AND ".join(f"{quoted(c)} IS NOT NULL" for c in columns) + ")"
 
 
-def _spread_columns(df: DataFrame, spread_by: Sequence[str] | None) -> list[Column]:
-    names = spread_by or [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
-    return [named(n) for n in names]
+def _key_values(schema: StructType, columns: Sequence[str], other: StructType, others: Sequence[str]) -> list[str]:
+    """The key columns as SQL, in a type both sides share, so that equal keys hash alike."""
+    values = []
+    for mine, theirs in zip(columns, others, strict=True):
+        my_type, their_type = schema[mine].dataType, other[theirs].dataType
+        if my_type == their_type:
+            values.append(quoted(mine))
+        elif isinstance(my_type, IntegralType) and isinstance(their_type, IntegralType):
+            values.append(f"CAST({quoted(mine)} AS BIGINT)")
+        else:
+            raise ContractError(
+                f"key types differ: {mine} is {my_type.simpleString()}, {theirs} is {their_type.simpleString()}"
+            )
+    return values
 
 
 def _lookup(
@@ -54,32 +63,33 @@ def _lookup(
     keys: DataFrame,
     key_columns: Sequence[str],
     how: str,
-    present: Column,
+    present: str,
     spread_by: Sequence[str] | None,
     tag: str,
 ) -> DataFrame:
-    names = [f"__{tag}_{i}" for i in range(len(columns))]
-    types = [df.schema[c].dataType for c in columns]
+    names = [quoted(f"{tag}_{i}") for i in range(len(columns))]
+    hashed = quoted(f"{tag}_hash")
+    mine = _key_values(df.schema, columns, keys.schema, key_columns)
+    theirs = _key_values(keys.schema, key_columns, df.schema, columns)
     key_side = (
-        keys.where(_all_present(key_columns))
-        .select([named(k).cast(t).alias(n) for k, t, n in zip(key_columns, types, names, strict=True)])
+        keys.where(all_present(key_columns))
+        .selectExpr(*[f"{value} AS {name}" for value, name in zip(theirs, names, strict=True)])
         .distinct()
-        .withColumn(f"__{tag}_spread", F.xxhash64(*names))
+        .selectExpr("*", f"xxhash64({', '.join(names)}) AS {hashed}")
     )
-    own = [named(c) for c in columns]
-    spread = F.when(present, F.xxhash64(*own)).otherwise(F.xxhash64(*_spread_columns(df, spread_by)))
-    match = spread == F.col(f"__{tag}_spread")
-    for value, name in zip(own, names, strict=True):
-        match = match & (F.when(present, value) == F.col(name))
-    return df.join(key_side, match, how)
+    spread_by = spread_by or [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+    own_hash = f"xxhash64({', '.join(mine)})"
+    row_hash = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
+    match = [f"{hashed} = CASE WHEN {present} THEN {own_hash} ELSE {row_hash} END"]
+    match += [f"{name} = CASE WHEN {present} THEN {value} END" for name, value in zip(names, mine, strict=True)]
+    return df.join(key_side, F.expr(" AND ".join(match)), how)
 
 
-def with_key_in(
-    df: DataFrame, columns: Sequence[str], keys: DataFrame, key_columns: Sequence[str]
-) -> DataFrame:
+def with_key_in(df: DataFrame, columns: Sequence[str], keys: DataFrame, key_columns: Sequence[str]) -> DataFrame:
     """Rows whose key occurs among ``keys`` (EXISTS)."""
-    present = _all_present(columns)
-    return _lookup(df.where(present), columns, keys, key_columns, "left_semi", present, None, "key")
+    present = all_present(columns)
+    # Only rows with a key are left, so there is nothing to spread.
+    return _lookup(df.where(present), columns, keys, key_columns, "left_semi", present, columns, "__key")
 
 
 def with_key_not_in(
@@ -90,23 +100,30 @@ def with_key_not_in(
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows whose key does not occur among ``keys`` (NOT EXISTS); a NULL key never occurs."""
-    return _lookup(df, columns, keys, key_columns, "left_anti", _all_present(columns), spread_by, "key")
+    return _lookup(df, columns, keys, key_columns, "left_anti", all_present(columns), spread_by, "__key")
 
 
-def mark_key(
+def mark(
     df: DataFrame,
     column: str,
     keys: DataFrame,
     key_column: str,
     marker: str,
-    present: Column | None = None,
+    present: str,
     spread_by: Sequence[str] | None = None,
+    missing: bool = False,
 ) -> DataFrame:
+    """Add a boolean: the key is present and occurs among ``keys`` or, with ``missing``, does not."""
+    tag = f"__{marker}"
+    found = f"{quoted(tag + '_0')} IS NOT NULL"
+    flag = f"({present} AND NOT {found})" if missing else found
+    joined = _lookup(df, [column], keys, [key_column], "left", present, spread_by, tag)
+    return joined.selectExpr("*", f"{flag} AS {quoted(marker)}").drop(f"{tag}_0", f"{tag}_hash")
+
+
+def mark_key(df: DataFrame, column: str, keys: DataFrame, key_column: str, marker: str) -> DataFrame:
     """Add a boolean column: does the row's key occur among ``keys``? Row count never changes."""
-    present = _all_present([column]) if present is None else present
-    joined = _lookup(df, [column], keys, [key_column], "left", present, spread_by, marker)
-    found = F.col(f"__{marker}_0").isNotNull().alias(marker)
-    return joined.select(*[named(c) for c in df.columns], found)
+    return mark(df, column, keys, key_column, marker, all_present([column]))
 
 
 def contains_key(df: DataFrame, column: str, key: object) -> bool:

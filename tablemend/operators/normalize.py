@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,14 +42,15 @@ def normalize_lenient(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Raw rows with a value that does not fit its declared type, with the columns at fault in ``_columns``."""
+    """Raw rows with a value that does not fit its declared type; ``_columns`` names the columns at fault."""
     spec.check(df.schema, types=False)
-    at_fault = []
+    unfit = {}
     for field in spec.schema:
         value = _ruled(df, field)
-        unfit = value.isNotNull() & value.try_cast(field.dataType).isNull()
-        at_fault.append(F.when(unfit, F.lit(field.name)))
-    return df.withColumn("_columns", F.array_compact(F.array(*at_fault))).where(F.size("_columns") > 0)
+        unfit[field.name] = value.isNotNull() & value.try_cast(field.dataType).isNull()
+    at_fault = [F.when(flag, F.lit(name)) for name, flag in unfit.items()]
+    found = df.where(reduce(lambda a, b: a | b, unfit.values()))
+    return found.withColumn("_columns", F.concat_ws(",", *at_fault))
 
 
 def normalize_all(catalog: Catalog, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

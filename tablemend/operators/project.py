@@ -7,13 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from tablemend.contract import Catalog, ContractError, TableSpec
-from tablemend.functions.text import named
+from tablemend.functions.text import quoted
 
 
 def declared_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Only the declared columns, in declared order."""
     spec.check(df.schema, types=False)
-    return df.select([named(c) for c in spec.columns])
+    return df.select([quoted(c) for c in spec.columns])
 
 
 def without_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -46,7 +46,9 @@ def target_columns(headers: Sequence[str], spec: TableSpec, joined: Sequence[Tab
 
 def project_to_target(df: DataFrame, spec: TableSpec, joined: Sequence[TableSpec] = ()) -> DataFrame:
     """The table as its target wants it."""
-    return df.select([named(s).alias(t) for t, s in target_columns(df.columns, spec, joined).items()])
+    return df.selectExpr(
+        *[f"{quoted(s)} AS {quoted(t)}" for t, s in target_columns(df.columns, spec, joined).items()]
+    )
 
 
 def project_all(catalog: Catalog, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

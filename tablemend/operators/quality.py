@@ -51,8 +51,8 @@ def violations(df: DataFrame, spec: TableSpec) -> DataFrame:
         return df.where(F.lit(False)).select(
             *keys, *[F.lit("").alias(c) for c in ("column_name", "check_name", "value")]
         )
-    found = df.select(*keys, F.explode(F.array_compact(F.array(*faults))).alias("__fault"))
-    return found.select(*keys, "__fault.*")
+    found = df.select(*keys, F.explode(F.array(*faults)).alias("__fault"))
+    return found.where("__fault IS NOT NULL").select(*keys, "__fault.*")
 
 
 def fill_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:
