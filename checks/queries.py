@@ -41,15 +41,18 @@ from tablemend.operators import (
     orphans,
     profile,
     project_to_target,
+    publish,
+    publish_counts,
     reduce_to_deepest,
     rejects,
     repeated_keys,
     rows_with_keys,
     sweep,
     violations,
+    with_presence,
 )
 from tablemend.plans import ReduceRule, StageStore, clean, shared_folder
-from tablemend.sources import read_csv, read_table, write_csv, write_quarantine, write_table
+from tablemend.sources import read_csv, read_table, read_tables, write_csv, write_quarantine, write_table
 
 LONG, INT, TEXT, TIME = LongType(), IntegerType(), StringType(), TimestampNTZType()
 
@@ -455,6 +458,32 @@ def distinct_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_texts(_tables_with_paths(spark, sf_dir)["pages"], "url")
 
 
+def _files_of_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths below the tables' own folder: two name a file there, the nations' names do not."""
+    path = (
+        F.when(F.col("n_regionkey") == 0, F.lit("region.parquet"))
+        .when(F.col("n_regionkey") == 1, F.lit("nation.parquet"))
+        .when(F.col("n_regionkey") == 2, F.concat(F.lit("../"), F.col("n_name")))
+        .otherwise(F.col("n_name"))
+    )
+    spec = table("nation", [column("file", TEXT, asset=True)], target="nation")
+    df = _read(spark, sf_dir, "nation").withColumn("file", path)
+    return manifest(spark, Catalog([spec]), {"nation": df})
+
+
+def asset_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    urls = manifest(spark, ASSET_CATALOG, _tables_with_paths(spark, sf_dir))
+    return with_presence(urls.unionByName(_files_of_nations(spark, sf_dir)), sf_dir).drop("length")
+
+
+def asset_publish_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = _scratch(spark)
+    report = publish(
+        _files_of_nations(spark, sf_dir), sf_dir, f"{scratch}/published", f"{scratch}/report", tasks=4
+    )
+    return publish_counts(report)
+
+
 # --- quality ----------------------------------------------------------------
 
 
@@ -540,19 +569,19 @@ def stage_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TRADE_CATALOG = Catalog(
     [
-        replace(REGION, join_to=JoinInto("customer", "n_regionkey")),
-        replace(
-            NATION,
-            schema=table(
-                "nation",
-                [
-                    column("n_nationkey", INT, key=True),
-                    column("n_name", TEXT),
-                    column("n_regionkey", INT, references="region", on_delete=DO_NOTHING),
-                ],
-            ).schema,
+        # nation is joined before region, whose key it brings.
+        table(
+            "nation",
+            [
+                column("n_nationkey", INT, key=True),
+                column("n_name", TEXT),
+                column("n_regionkey", INT, references="region", on_delete=DO_NOTHING),
+            ],
+            target="target_nation",
             join_to=JoinInto("customer", "c_nationkey"),
+            row_filter="n_nationkey <> 7",
         ),
+        replace(REGION, join_to=JoinInto("customer", "n_regionkey")),
         table(
             "customer",
             [
@@ -562,6 +591,7 @@ TRADE_CATALOG = Catalog(
                 column("c_mktsegment", TEXT, rule="value_to_none", args={"gauge": "MACHINERY"}),
             ],
             target="target_customer",
+            row_filter="c_acctbal > 0",
         ),
         table(
             "orders",
@@ -576,18 +606,12 @@ TRADE_CATALOG = Catalog(
         ),
     ]
 )
-# nation must be joined before region, whose key it brings.
-TRADE_CATALOG = Catalog([TRADE_CATALOG[n] for n in ("nation", "region", "customer", "orders")])
 TRADE_DEDUP = {"orders": DedupRule(("o_custkey", "o_orderdate"))}
 
 
 def _raw_trade(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "nation": _read(spark, sf_dir, "nation").where("n_nationkey <> 7"),
-        "region": _read(spark, sf_dir, "region"),
-        "customer": _read(spark, sf_dir, "customer").where("c_acctbal > 0"),
-        "orders": _orders_with_text_dates(spark, sf_dir),
-    }
+    lookups = read_tables(spark, TRADE_CATALOG, sf_dir, ["nation", "region", "customer"])
+    return {**lookups, "orders": _orders_with_text_dates(spark, sf_dir)}
 
 
 def _clean_trade(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -667,6 +691,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         reduce_hierarchy,
         asset_manifest,
         distinct_paths,
+        asset_presence,
+        asset_publish_counts,
         table_profile,
         quality_violations,
         fill_default,

@@ -62,6 +62,20 @@ WHERE NOT EXISTS (
 _URLS = "SELECT DISTINCT url FROM pages WHERE page_id % 5 <> 0 AND trim(url) <> ''"
 
 
+_MANIFEST = f"""
+SELECT 'pages' AS table_name, 'url' AS column_name, url AS path FROM ({_URLS})
+UNION ALL
+SELECT DISTINCT 'documents', 'source', source FROM documents WHERE trim(source) <> ''
+"""
+
+_NATION_FILES = """
+SELECT DISTINCT 'nation' AS table_name, 'file' AS column_name,
+       CASE n_regionkey WHEN 0 THEN 'region.parquet' WHEN 1 THEN 'nation.parquet'
+                        WHEN 2 THEN '../' || n_name ELSE n_name END AS path
+FROM nation
+"""
+
+
 def _profile() -> str:
     columns = [
         ("c_custkey", "bigint", "c_custkey"),
@@ -174,11 +188,15 @@ SQL: dict[str, str] = {
         SELECT c_custkey AS id, c_name, c_nationkey, c_mktsegment, n_name, n_regionkey, r_name FROM ({_CHAIN})""",
     "declared_projection": "SELECT c_custkey, c_name, c_nationkey FROM customer",
     "reduce_hierarchy": _PLACES,
-    "asset_manifest": f"""
-        SELECT 'pages' AS table_name, 'url' AS column_name, url AS path FROM ({_URLS})
-        UNION ALL
-        SELECT DISTINCT 'documents', 'source', source FROM documents WHERE trim(source) <> ''""",
+    "asset_manifest": _MANIFEST,
     "distinct_paths": _URLS,
+    "asset_presence": f"""
+        SELECT *, path IN ('region.parquet', 'nation.parquet') AS present
+        FROM ({_MANIFEST} UNION ALL {_NATION_FILES})""",
+    "asset_publish_counts": f"""
+        SELECT CASE WHEN path LIKE '../%' THEN 'rejected' WHEN path LIKE '%.parquet' THEN 'copied'
+                    ELSE 'missing' END AS status, count(*) AS files
+        FROM ({_NATION_FILES}) GROUP BY 1""",
     "table_profile": _profile(),
     "quality_violations": _QUALITY,
     "fill_default": """

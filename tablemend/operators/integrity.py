@@ -28,7 +28,8 @@ from pyspark.sql.types import NumericType
 
 from tablemend.contract import CASCADE, SET_NULL, Catalog, ForeignKey, TableSpec
 from tablemend.functions.text import named, quoted
-from tablemend.operators.keys import is_set, mark, with_key_in, with_key_not_in
+from tablemend.operators.keys import fk_value, is_set, mark, with_key_in, with_key_not_in
+from tablemend.sources.files import write_tables
 
 
 class Target:
@@ -42,8 +43,7 @@ class Target:
 def orphans(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
     """Rows whose foreign key is set and refers to nothing."""
     candidates = df.where(is_set(df.schema, fk_column))
-    # Every candidate has a key, so there is nothing to spread.
-    return with_key_not_in(candidates, [fk_column], target.rows, [target.key], spread_by=[fk_column])
+    return with_key_not_in(candidates, [fk_column], target.rows, [target.key], spread_by=())
 
 
 def broken_keys(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
@@ -52,7 +52,7 @@ def broken_keys(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
     Rows are counted before the shuffle, so this moves distinct values only.
     """
     counted = df.where(is_set(df.schema, fk_column)).groupBy(named(fk_column)).agg(F.count(F.lit(1)).alias("rows"))
-    return with_key_not_in(counted, [fk_column], target.rows, [target.key], spread_by=[fk_column])
+    return with_key_not_in(counted, [fk_column], target.rows, [target.key], spread_by=())
 
 
 def rows_with_keys(df: DataFrame, column: str, keys: DataFrame, key_column: str) -> DataFrame:
@@ -95,12 +95,12 @@ class Checked:
         df = self._df
         schema, spread_by = df.schema, self._spec.primary_key or None
         for fk in keys:
-            present = is_set(schema, fk.column)
+            value = fk_value(schema, fk.column)
             if self._broken is None:
                 target = self._targets[fk.target]
-                df = mark(df, fk.column, target.rows, target.key, _flag(fk), present, spread_by, missing=True)
+                df = mark(df, fk.column, value, target.rows, target.key, _flag(fk), spread_by, missing=True)
             else:
-                df = mark(df, fk.column, self._broken[fk.column], fk.column, _flag(fk), present, spread_by)
+                df = mark(df, fk.column, value, self._broken[fk.column], fk.column, _flag(fk), spread_by)
         return df
 
     @cached_property
@@ -126,8 +126,8 @@ class Checked:
     @cached_property
     def quarantine(self) -> DataFrame:
         if not self._keys:
-            labels = ", ".join(f"'' AS {c}" for c in ("_fk", "_target", "_policy"))
-            return self._df.where("false").selectExpr("*", f"'{self._spec.name}' AS _table", *labels.split(", "))
+            labels = [f"'' AS {c}" for c in ("_table", "_fk", "_target", "_policy")]
+            return self._df.where("false").selectExpr("*", *labels)
         faults = []
         for i, fk in enumerate(self._keys):
             fault = f"struct('{fk.column}' AS _fk, '{fk.target}' AS _target, '{fk.on_delete}' AS _policy)"
@@ -157,21 +157,18 @@ def enforce(
     """
     broken = None
     if work_dir is not None:
-        broken = {
-            fk.column: _written_broken_keys(df, spec, fk, targets[fk.target], work_dir)
-            for fk in spec.foreign_keys
-            if fk.target in targets
-        }
+        broken = _written_broken_keys(df, spec, targets, f"{work_dir.rstrip('/')}/{spec.name}")
     return Checked(df, spec, targets, zero_as_null, broken)
 
 
 def _written_broken_keys(
-    df: DataFrame, spec: TableSpec, fk: ForeignKey, target: Target, work_dir: str
-) -> DataFrame:
-    path = f"{work_dir.rstrip('/')}/{spec.name}/{fk.column}"
-    keys = broken_keys(df, fk.column, target)
-    keys.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(keys.schema).parquet(path)
+    df: DataFrame, spec: TableSpec, targets: Mapping[str, Target], root: str
+) -> dict[str, DataFrame]:
+    keys = {
+        fk.column: broken_keys(df, fk.column, targets[fk.target]) for fk in spec.foreign_keys if fk.target in targets
+    }
+    write_tables(keys, root, mode="overwrite")
+    return {c: df.sparkSession.read.schema(k.schema).parquet(f"{root}/{c}") for c, k in keys.items()}
 
 
 class Quarantine(Mapping[str, DataFrame]):

@@ -23,38 +23,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, MapType, NumericType, StructType
+from pyspark.sql.types import DataType, IntegralType, MapType, NumericType, StructType
 
 from tablemend.contract import ContractError
 from tablemend.functions.text import named, quoted
 
 
+def fk_value(schema: StructType, column: str) -> str:
+    """SQL for a foreign key's value: NULL where it is not set, which for numbers includes 0."""
+    value = quoted(column)
+    return f"nullif({value}, 0)" if isinstance(schema[column].dataType, NumericType) else value
+
+
 def is_set(schema: StructType, column: str) -> str:
-    """SQL condition: a foreign key is set when it is not NULL and, for numbers, not 0."""
+    """SQL condition: the foreign key is set. Written so that it reaches the scan as a filter."""
     value = quoted(column)
-    if isinstance(schema[column].dataType, NumericType):
-        return f"({value} IS NOT NULL AND {value} <> 0)"
-    return f"({value} IS NOT NULL)"
+    zero = f" AND {value} <> 0" if isinstance(schema[column].dataType, NumericType) else ""
+    return f"({value} IS NOT NULL{zero})"
 
 
 def all_present(columns: Sequence[str]) -> str:
     return "(" + " AND ".join(f"{quoted(c)} IS NOT NULL" for c in columns) + ")"
 
 
-def _key_values(schema: StructType, columns: Sequence[str], other: StructType, others: Sequence[str]) -> list[str]:
-    """The key columns as SQL, in a type both sides share, so that equal keys hash alike."""
-    values = []
-    for mine, theirs in zip(columns, others, strict=True):
-        my_type, their_type = schema[mine].dataType, other[theirs].dataType
+def _cast_to_shared(values: Sequence[str], mine: Sequence[DataType], theirs: Sequence[DataType]) -> list[str]:
+    """Key values in a type both sides share, so that equal keys hash alike."""
+    out = []
+    for value, my_type, their_type in zip(values, mine, theirs, strict=True):
         if my_type == their_type:
-            values.append(quoted(mine))
+            out.append(value)
         elif isinstance(my_type, IntegralType) and isinstance(their_type, IntegralType):
-            values.append(f"CAST({quoted(mine)} AS BIGINT)")
+            out.append(f"CAST({value} AS BIGINT)")
         else:
-            raise ContractError(
-                f"key types differ: {mine} is {my_type.simpleString()}, {theirs} is {their_type.simpleString()}"
-            )
-    return values
+            raise ContractError(f"key types differ: {my_type.simpleString()} and {their_type.simpleString()}")
+    return out
 
 
 def _lookup(
@@ -63,33 +65,42 @@ def _lookup(
     keys: DataFrame,
     key_columns: Sequence[str],
     how: str,
-    present: str,
-    spread_by: Sequence[str] | None,
-    tag: str,
+    spread_by: Sequence[str],
+    values: Sequence[str] | None = None,
+    tag: str = "__key",
 ) -> DataFrame:
+    """Join to the distinct keys. ``values`` stand for ``columns`` where NULL is not the only "no key".
+
+    Without ``spread_by`` every row is taken to have a key.
+    """
     names = [quoted(f"{tag}_{i}") for i in range(len(columns))]
     hashed = quoted(f"{tag}_hash")
-    mine = _key_values(df.schema, columns, keys.schema, key_columns)
-    theirs = _key_values(keys.schema, key_columns, df.schema, columns)
+    my_types = [df.schema[c].dataType for c in columns]
+    key_types = [keys.schema[c].dataType for c in key_columns]
+    mine = _cast_to_shared(values or [quoted(c) for c in columns], my_types, key_types)
+    theirs = _cast_to_shared([quoted(c) for c in key_columns], key_types, my_types)
     key_side = (
         keys.where(all_present(key_columns))
         .selectExpr(*[f"{value} AS {name}" for value, name in zip(theirs, names, strict=True)])
         .distinct()
         .selectExpr("*", f"xxhash64({', '.join(names)}) AS {hashed}")
     )
-    spread_by = spread_by or [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
-    own_hash = f"xxhash64({', '.join(mine)})"
-    row_hash = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
-    match = [f"{hashed} = CASE WHEN {present} THEN {own_hash} ELSE {row_hash} END"]
-    match += [f"{name} = CASE WHEN {present} THEN {value} END" for name, value in zip(names, mine, strict=True)]
+    my_hash = f"xxhash64({', '.join(mine)})"
+    if spread_by:
+        present = " AND ".join(f"{value} IS NOT NULL" for value in mine)
+        row_hash = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
+        my_hash = f"CASE WHEN {present} THEN {my_hash} ELSE {row_hash} END"
+    match = [f"{hashed} = {my_hash}"] + [f"{name} = {value}" for name, value in zip(names, mine, strict=True)]
     return df.join(key_side, F.expr(" AND ".join(match)), how)
 
 
+def _row_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+
+
 def with_key_in(df: DataFrame, columns: Sequence[str], keys: DataFrame, key_columns: Sequence[str]) -> DataFrame:
     """Rows whose key occurs among ``keys`` (EXISTS)."""
-    present = all_present(columns)
-    # Only rows with a key are left, so there is nothing to spread.
-    return _lookup(df.where(present), columns, keys, key_columns, "left_semi", present, columns, "__key")
+    return _lookup(df.where(all_present(columns)), columns, keys, key_columns, "left_semi", ())
 
 
 def with_key_not_in(
@@ -99,31 +110,39 @@ def with_key_not_in(
     key_columns: Sequence[str],
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows whose key does not occur among ``keys`` (NOT EXISTS); a NULL key never occurs."""
-    return _lookup(df, columns, keys, key_columns, "left_anti", all_present(columns), spread_by, "__key")
+    """Rows whose key does not occur among ``keys`` (NOT EXISTS); a NULL key never occurs.
+
+    ``spread_by`` names the columns that spread rows without a key, by default
+    all of them; an empty list says that every row has a key.
+    """
+    return _lookup(df, columns, keys, key_columns, "left_anti", _row_columns(df) if spread_by is None else spread_by)
 
 
 def mark(
     df: DataFrame,
     column: str,
+    value: str,
     keys: DataFrame,
     key_column: str,
     marker: str,
-    present: str,
     spread_by: Sequence[str] | None = None,
     missing: bool = False,
 ) -> DataFrame:
-    """Add a boolean: the key is present and occurs among ``keys`` or, with ``missing``, does not."""
+    """Add a boolean: ``value``, SQL over ``column``, occurs among ``keys``.
+
+    With ``missing`` it is instead true where the value is not NULL and does
+    not occur.
+    """
     tag = f"__{marker}"
     found = f"{quoted(tag + '_0')} IS NOT NULL"
-    flag = f"({present} AND NOT {found})" if missing else found
-    joined = _lookup(df, [column], keys, [key_column], "left", present, spread_by, tag)
+    flag = f"({value} IS NOT NULL AND NOT {found})" if missing else found
+    joined = _lookup(df, [column], keys, [key_column], "left", spread_by or _row_columns(df), [value], tag)
     return joined.selectExpr("*", f"{flag} AS {quoted(marker)}").drop(f"{tag}_0", f"{tag}_hash")
 
 
 def mark_key(df: DataFrame, column: str, keys: DataFrame, key_column: str, marker: str) -> DataFrame:
     """Add a boolean column: does the row's key occur among ``keys``? Row count never changes."""
-    return mark(df, column, keys, key_column, marker, all_present([column]))
+    return mark(df, column, quoted(column), keys, key_column, marker)
 
 
 def contains_key(df: DataFrame, column: str, key: object) -> bool:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemend.sources.files import write_quarantine
+from tablemend.sources.files import write_quarantine, write_tables
 
 
 @dataclass(frozen=True)
@@ -72,12 +72,9 @@ class StageStore:
     def save(self, stage: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         """Write the tables of a stage and return them as read back."""
         self._position(stage)
-        out = {}
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(self.path(stage, name))
-            # The schema is known; giving it saves a look at the files' footers.
-            out[name] = self.spark.read.schema(df.schema).parquet(self.path(stage, name))
-        return out
+        write_tables(tables, f"{self.root}/{stage}", mode="overwrite")
+        # The schemas are known; giving them saves a look at the files' footers.
+        return {name: self.spark.read.schema(df.schema).parquet(self.path(stage, name)) for name, df in tables.items()}
 
     def save_quarantine(self, quarantine: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         """Write the rows set aside, a folder per foreign key, and return them as read back."""

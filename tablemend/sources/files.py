@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -25,6 +27,13 @@ CSV_OPTIONS = {
 }
 
 
+def run_together(jobs: Iterable[Callable[[], None]], at_once: int = 4) -> None:
+    """Run independent Spark jobs side by side, so that small tables do not leave the cluster idle."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A Parquet table. Lazy: columns and filters used later decide what is read."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -62,14 +71,17 @@ def write_table(
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str, mode: str = "errorifexists") -> None:
-    for name, df in tables.items():
-        write_table(df, f"{root.rstrip('/')}/{name}", mode)
+    run_together(
+        partial(write_table, df, f"{root.rstrip('/')}/{name}", mode) for name, df in tables.items()
+    )
 
 
 def write_quarantine(quarantine: Mapping[str, DataFrame], root: str, mode: str = "errorifexists") -> None:
     """One Parquet table per source table, a folder per foreign key."""
-    for name, df in quarantine.items():
-        write_table(df, f"{root.rstrip('/')}/{name}", mode, partition_by=("_table", "_fk"))
+    run_together(
+        partial(write_table, df, f"{root.rstrip('/')}/{name}", mode, ("_table", "_fk"))
+        for name, df in quarantine.items()
+    )
 
 
 def write_csv(

@@ -111,6 +111,10 @@ def append_table(
 ) -> None:
     """Append rows to an existing database table.
 
+    The rows are dealt out evenly to ``connections`` tasks first. Left to
+    itself Spark would merge partitions instead, and so compute the table in
+    that few tasks too.
+
     Spark commits each task on its own, and a task that is run again appends
     again. With ``run_sql``, a function that runs statements in one
     transaction, the rows go to ``<table>_staging`` first (replaced, so a rerun
@@ -119,13 +123,14 @@ def append_table(
     the staging table when an executor is lost in the middle of a task; the
     target's key constraint then rejects the insert as a whole.
     """
+    dealt = df.repartition(connections)
     if run_sql is None:
-        df.write.format("jdbc").mode("append").options(
+        dealt.write.format("jdbc").mode("append").options(
             **write_options(options, table, connections, batch_rows)
         ).save()
         return
     staging = f"{table}_staging"
-    df.write.format("jdbc").mode("overwrite").options(
+    dealt.write.format("jdbc").mode("overwrite").options(
         **write_options(options, staging, connections, batch_rows)
     ).save()
     run_sql(publish_statements(staging, table, df.columns, quote))
