@@ -418,7 +418,10 @@ def _order_places(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("o_orderkey").alias("orderkey"), (F.col("n_regionkey") + 1000).alias("place"))
     )
-    return supplied.unionByName(sold), tree
+    # The operator reads its links twice, so they are worked out once and written.
+    path = _scratch(spark)
+    write_table(supplied.unionByName(sold), path)
+    return read_table(spark, path), tree
 
 
 def reduce_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,8 +150,8 @@ SQL: dict[str, str] = {
     "int_to_bool": "SELECT doc_id, quality <> 0 AS quality, toxic <> 0 AS toxic FROM labels",
     "html_unescape": """
         SELECT page_id,
-               replace(replace(replace(replace(html, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'),
-                       '&amp;', '&') AS html
+               regexp_replace(replace(replace(replace(html, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'),
+                              '&amp;?', '&', 'g') AS html
         FROM pages""",
     "normalize_table": """
         SELECT o_orderkey, CAST(nullif(o_custkey, 0) AS INTEGER) AS o_custkey,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 from collections.abc import Iterator, Mapping
 from functools import reduce
@@ -10,13 +11,13 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablemend.contract import Catalog
 from tablemend.functions.text import is_safe_path, named
 from tablemend.operators.dedup import distinct_texts
 
 MANIFEST_SCHEMA = "table_name string, column_name string, path string"
-_COPY_CHUNK = 1 << 20
 
 
 def manifest(spark: SparkSession, catalog: Catalog, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -37,8 +38,14 @@ def manifest(spark: SparkSession, catalog: Catalog, tables: Mapping[str, DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
-def _full_path(base: str, path: str) -> str:
-    return f"{base.rstrip('/')}/{path}"
+# The functions below run in Python workers that may not have this package, so
+# they use nothing of it.
+
+
+def _arrow_uri(uri: str) -> str:
+    """A folder as Hadoop names it, in the form Arrow's file systems take."""
+    uri = re.sub(r"^s3[an]://", "s3://", uri)
+    return re.sub(r"^file:/(?!/)", "file:///", uri)
 
 
 def with_presence(paths: DataFrame, base_uri: str) -> DataFrame:
@@ -49,14 +56,16 @@ def with_presence(paths: DataFrame, base_uri: str) -> DataFrame:
     its size nor the number of paths reaches the driver. Paths that would leave
     the base folder are not looked up and count as absent.
     """
-    schema = paths.drop("__safe").schema.add("present", "boolean").add("length", "long")
+    schema = StructType(paths.schema.fields).add("present", "boolean").add("length", "long")
+    base_uri = _arrow_uri(base_uri)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = fs.FileSystem.from_uri(base_uri)
+        base = base.rstrip("/")
         for batch in batches:
             table = pa.Table.from_batches([batch])
             safe = table.column("__safe").to_pylist()
-            asked = [_full_path(base, p) for p, ok in zip(table.column("path").to_pylist(), safe, strict=True) if ok]
+            asked = [f"{base}/{p}" for p, ok in zip(table.column("path").to_pylist(), safe, strict=True) if ok]
             answers = iter(filesystem.get_file_info(asked) if asked else [])
             infos = [next(answers) if ok else None for ok in safe]
             present = [i is not None and i.type == fs.FileType.File for i in infos]
@@ -86,10 +95,12 @@ def publish(
     than the files and would otherwise end up in very few tasks.
     """
     spark = paths.sparkSession
+    base_uri, destination_uri = _arrow_uri(base_uri), _arrow_uri(destination_uri)
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source, base = fs.FileSystem.from_uri(base_uri)
         target, target_base = fs.FileSystem.from_uri(destination_uri)
+        base, target_base = base.rstrip("/"), target_base.rstrip("/")
         flat_store = target.type_name in ("s3", "gcs", "abfs")
         for batch in batches:
             rows = []
@@ -97,7 +108,7 @@ def publish(
                 status, error, length = "rejected", None, None
                 if safe:
                     try:
-                        origin, key = _full_path(base, path), _full_path(target_base, path)
+                        origin, key = f"{base}/{path}", f"{target_base}/{path}"
                         info = source.get_file_info(origin)
                         if info.type != fs.FileType.File:
                             status = "missing"
@@ -105,7 +116,7 @@ def publish(
                             if not flat_store:
                                 target.create_dir(key.rsplit("/", 1)[0], recursive=True)
                             with source.open_input_stream(origin) as src, target.open_output_stream(key) as dst:
-                                shutil.copyfileobj(src, dst, _COPY_CHUNK)
+                                shutil.copyfileobj(src, dst, 1 << 20)
                             status, length = "copied", info.size
                     except Exception as e:  # a file that cannot be copied is a row, not a failed job
                         status, error = "failed", f"{type(e).__name__}: {e}"
