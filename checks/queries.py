@@ -548,7 +548,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lang = F.when(F.col("doc_id") % 3 != 0, F.when(F.col("doc_id") % 3 == 1, F.lit("")).otherwise(F.col("lang")))
     df = _read(spark, sf_dir, "documents").withColumn("lang", lang)
     path = _scratch(spark)
-    write_csv(df, path, chunk_size=5000)
+    write_csv(df, path, chunk_size=100_000)
     return read_csv(spark, path, df.schema)
 
 
