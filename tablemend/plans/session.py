@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Adaptive execution splits partitions that a hot key has made too large and
-# chooses broadcast joins from sizes it has measured. Shuffles start with many
-# partitions and are merged to the advisory size, so one number serves small
-# and large tables. Texts may be long: Arrow batches are bounded in bytes too.
+# chooses broadcast joins from sizes it has measured. Time stamps carry no zone.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
 }
 
 
