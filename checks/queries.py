@@ -22,6 +22,7 @@ from pyspark.sql.types import (
 )
 
 from tablemend import CASCADE, DO_NOTHING, SET_NULL, Catalog, JoinInto, column, table
+from tablemend.functions import below
 from tablemend.operators import (
     DedupRule,
     Target,
@@ -474,6 +475,13 @@ def _files_of_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(spark, Catalog([spec]), {"nation": df})
 
 
+def asset_full_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _files_of_nations(spark, sf_dir).unionByName(
+        manifest(spark, ASSET_CATALOG, _tables_with_paths(spark, sf_dir))
+    )
+    return paths.select("path", below("/shop/images/", F.col("path")).alias("full_path"))
+
+
 def asset_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     urls = manifest(spark, ASSET_CATALOG, _tables_with_paths(spark, sf_dir))
     return with_presence(urls.unionByName(_files_of_nations(spark, sf_dir)), sf_dir).drop("length")
@@ -694,6 +702,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         reduce_hierarchy,
         asset_manifest,
         distinct_paths,
+        asset_full_paths,
         asset_presence,
         asset_publish_counts,
         table_profile,

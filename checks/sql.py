@@ -190,6 +190,10 @@ SQL: dict[str, str] = {
     "reduce_hierarchy": _PLACES,
     "asset_manifest": _MANIFEST,
     "distinct_paths": _URLS,
+    "asset_full_paths": f"""
+        SELECT path, CASE WHEN path NOT LIKE '../%' AND path NOT LIKE 'http%' THEN '/shop/images/' || path END
+                     AS full_path
+        FROM ({_MANIFEST} UNION ALL {_NATION_FILES})""",
     "asset_presence": f"""
         SELECT *, path IN ('region.parquet', 'nation.parquet') AS present
         FROM ({_MANIFEST} UNION ALL {_NATION_FILES})""",

@@ -17,6 +17,7 @@ from tablemend.operators import (
     left_join,
     mark_key,
     orphans,
+    reduce_to_deepest,
     with_key_in,
     with_key_not_in,
 )
@@ -205,6 +206,20 @@ def test_a_hot_dependent_key_is_split(spark, shuffled_joins):
     assert joined.where("d IS NULL").count() == 500
 
 
+def test_hot_links_are_split(spark, shuffled_joins):
+    """A third of all links repeat one pair, a third lead to one node."""
+    links = spark.range(0, 60_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("int").alias("item"),
+        F.when(F.col("id") % 3 < 2, F.lit(50)).otherwise(F.col("id") % 100).cast("int").alias("node"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    tree = spark.range(0, 1000).selectExpr("CAST(id % 100 AS INT) AS n", "CAST(id % 100 AS INT) DIV 10 AS p")
+    kept = reduce_to_deepest(links, tree.withColumn("p", F.col("p").cast("int")), "item", "node", "n", "p")
+    assert _executed_plan(kept).count("skew=true") == 2
+    # Each item has one node, so only a link to a node that is its own parent goes: 0.
+    assert kept.count() == links.where("node <> 0").count()
+
+
 def test_wide_keys(spark):
     """A key column that is not a number has no 0 to mean "not set"."""
     spec = table("t", [column("k", LongType()), column("f", LongType(), references="u", on_delete=CASCADE)], "t")
