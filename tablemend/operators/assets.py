@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import shutil
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import pyarrow as pa
@@ -17,6 +18,9 @@ from tablemend.contract import Catalog
 from tablemend.functions.text import is_safe_path, named
 from tablemend.operators.dedup import distinct_texts
 
+# The functions handed to mapInArrow run in Python workers that may not have this
+# package, so they use nothing of it.
+
 MANIFEST_SCHEMA = "table_name string, column_name string, path string"
 
 
@@ -38,23 +42,26 @@ def manifest(spark: SparkSession, catalog: Catalog, tables: Mapping[str, DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
-# The functions below run in Python workers that may not have this package, so
-# they use nothing of it.
-
-
 def _arrow_uri(uri: str) -> str:
     """A folder as Hadoop names it, in the form Arrow's file systems take."""
     uri = re.sub(r"^s3[an]://", "s3://", uri)
     return re.sub(r"^file:/(?!/)", "file:///", uri)
 
 
-def with_presence(paths: DataFrame, base_uri: str) -> DataFrame:
+def _spread(paths: DataFrame, tasks: int | None) -> DataFrame:
+    """Deal paths out evenly. Next to the files the table of paths is tiny and would end up in very few tasks."""
+    tasks = tasks or int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return paths.withColumn("__safe", F.coalesce(is_safe_path(F.col("path")), F.lit(False))).repartition(tasks)
+
+
+def with_presence(paths: DataFrame, base_uri: str, tasks: int | None = None, threads: int = 8) -> DataFrame:
     """Add ``present`` and ``length`` by looking each path up below a base folder.
 
     ``base_uri`` is a path or URI every executor can read. The tasks ask for
-    their own paths, a batch at a time; the folder is never listed, so neither
-    its size nor the number of paths reaches the driver. Paths that would leave
-    the base folder are not looked up and count as absent.
+    their own paths, ``threads`` at a time; the folder is never listed, so
+    neither its size nor the number of paths reaches the driver. Paths that
+    would leave the base folder are not looked up and count as absent. A folder
+    is present and has no length.
     """
     schema = StructType(paths.schema.fields).add("present", "boolean").add("length", "long")
     base_uri = _arrow_uri(base_uri)
@@ -62,25 +69,28 @@ def with_presence(paths: DataFrame, base_uri: str) -> DataFrame:
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = fs.FileSystem.from_uri(base_uri)
         base = base.rstrip("/")
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            safe = table.column("__safe").to_pylist()
-            asked = [f"{base}/{p}" for p, ok in zip(table.column("path").to_pylist(), safe, strict=True) if ok]
-            answers = iter(filesystem.get_file_info(asked) if asked else [])
-            infos = [next(answers) if ok else None for ok in safe]
-            present = [i is not None and i.type == fs.FileType.File for i in infos]
-            lengths = [i.size if ok else None for i, ok in zip(infos, present, strict=True)]
-            table = table.drop_columns(["__safe"])
-            table = table.append_column("present", pa.array(present, pa.bool_()))
-            table = table.append_column("length", pa.array(lengths, pa.int64()))
-            yield from table.to_batches()
-
-    marked = paths.withColumn("__safe", F.coalesce(is_safe_path(F.col("path")), F.lit(False)))
-    return marked.mapInArrow(look_up, schema)
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                table = pa.Table.from_batches([batch])
+                asked = zip(table.column("path").to_pylist(), table.column("__safe").to_pylist(), strict=True)
+                infos = list(pool.map(lambda a: filesystem.get_file_info(f"{base}/{a[0]}") if a[1] else None, asked))
+                present = [i is not None and i.type != fs.FileType.NotFound for i in infos]
+                lengths = [i.size if ok and i.type == fs.FileType.File else None for i, ok in zip(infos, present)]
+                table = table.drop_columns(["__safe"])
+                table = table.append_column("present", pa.array(present, pa.bool_()))
+                table = table.append_column("length", pa.array(lengths, pa.int64()))
+                yield from table.to_batches()
+
+    return _spread(paths, tasks).mapInArrow(look_up, schema)
 
 
 def publish(
-    paths: DataFrame, base_uri: str, destination_uri: str, report_path: str, tasks: int | None = None
+    paths: DataFrame,
+    base_uri: str,
+    destination_uri: str,
+    report_path: str,
+    tasks: int | None = None,
+    threads: int = 8,
 ) -> DataFrame:
     """Copy the files behind the distinct ``path`` values; returns the written report.
 
@@ -90,9 +100,8 @@ def publish(
     that runs again after a lost executor writes the same files again. The
     report is written once and read back: reading it repeats no copy.
 
-    ``tasks`` is the number of copying tasks; by default the session's shuffle
-    partitions. Work is spread by path, as the table of paths is far smaller
-    than the files and would otherwise end up in very few tasks.
+    ``tasks`` is the number of copying tasks, by default the session's shuffle
+    partitions; each copies ``threads`` files at a time, in pieces of 1 MB.
     """
     spark = paths.sparkSession
     base_uri, destination_uri = _arrow_uri(base_uri), _arrow_uri(destination_uri)
@@ -101,43 +110,38 @@ def publish(
         source, base = fs.FileSystem.from_uri(base_uri)
         target, target_base = fs.FileSystem.from_uri(destination_uri)
         base, target_base = base.rstrip("/"), target_base.rstrip("/")
-        flat_store = target.type_name in ("s3", "gcs", "abfs")
-        for batch in batches:
-            rows = []
-            for path, safe in zip(batch.column("path").to_pylist(), batch.column("safe").to_pylist(), strict=True):
-                status, error, length = "rejected", None, None
-                if safe:
-                    try:
-                        origin, key = f"{base}/{path}", f"{target_base}/{path}"
-                        info = source.get_file_info(origin)
-                        if info.type != fs.FileType.File:
-                            status = "missing"
-                        else:
-                            if not flat_store:
-                                target.create_dir(key.rsplit("/", 1)[0], recursive=True)
-                            with source.open_input_stream(origin) as src, target.open_output_stream(key) as dst:
-                                shutil.copyfileobj(src, dst, 1 << 20)
-                            status, length = "copied", info.size
-                    except Exception as e:  # a file that cannot be copied is a row, not a failed job
-                        status, error = "failed", f"{type(e).__name__}: {e}"
-                rows.append((path, status, error, length))
-            names = ("path", "status", "error", "length")
-            types = (pa.string(), pa.string(), pa.string(), pa.int64())
-            columns = [pa.array(values, t) for values, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [
-                pa.array([], t) for t in types
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    work = (
-        paths.select("path")
-        .distinct()
-        .withColumn("safe", F.coalesce(is_safe_path(F.col("path")), F.lit(False)))
-        .repartition(tasks, "path")
-    )
-    schema = "path string, status string, error string, length long"
-    work.mapInArrow(copy, schema).write.mode("overwrite").parquet(report_path)
-    return spark.read.schema(schema).parquet(report_path)
+        has_folders = target.type_name not in ("s3", "gcs", "abfs")
+
+        def copy_one(row: dict) -> dict:
+            path = row["path"]
+            report = {"path": path, "status": "rejected", "error": None, "length": None}
+            if not row["__safe"]:
+                return report
+            try:
+                info = source.get_file_info(f"{base}/{path}")
+                if info.type == fs.FileType.NotFound:
+                    return {**report, "status": "missing"}
+                key = f"{target_base}/{path}"
+                with source.open_input_stream(f"{base}/{path}") as src:
+                    if has_folders:
+                        target.create_dir(key.rsplit("/", 1)[0], recursive=True)
+                    with target.open_output_stream(key) as dst:
+                        shutil.copyfileobj(src, dst, 1 << 20)
+                return {**report, "status": "copied", "length": info.size}
+            except Exception as e:  # a file that cannot be copied is a row, not a failed job
+                return {**report, "status": "failed", "error": f"{type(e).__name__}: {e}"}
+
+        schema = pa.schema(
+            [("path", pa.string()), ("status", pa.string()), ("error", pa.string()), ("length", pa.int64())]
+        )
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                yield pa.RecordBatch.from_pylist(list(pool.map(copy_one, batch.to_pylist())), schema)
+
+    report_schema = "path string, status string, error string, length long"
+    work = _spread(paths.select("path").distinct(), tasks)
+    work.mapInArrow(copy, report_schema).write.mode("overwrite").parquet(report_path)
+    return spark.read.schema(report_schema).parquet(report_path)
 
 
 def publish_counts(report: DataFrame) -> DataFrame:
