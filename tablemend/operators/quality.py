@@ -78,7 +78,8 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row per column: type, rows, NULLs, and the value in the row with the smallest key.
 
-    A table without a declared key goes by its first column. A single aggregation; no grouping, so only one small row per task is moved.
+    A table without a declared key goes by its first column. It is a single
+    aggregation without groups, so each task passes on one small row.
     """
     key = F.struct(*[named(k) for k in spec.primary_key or df.columns[:1]])
     aggregates = [F.count(F.lit(1)).alias("n_rows")]

@@ -151,6 +151,23 @@ def test_hot_keys_are_split_when_enforced(spark, shuffled_joins, hot_rows):
     assert sorted(r["id"] for r in checked.quarantine.collect()) == _expected_orphans(n)
 
 
+def test_every_key_of_a_table_is_split(spark, shuffled_joins, hot_rows):
+    n, rows, targets = hot_rows
+    twice = rows.withColumn("k2", F.when(F.col("id") % 3 == 1, F.lit(88)).otherwise(F.col("id") % 500).cast("int"))
+    spec = table(
+        "rows",
+        [
+            column("id", IntegerType(), key=True),
+            column("k", IntegerType(), references="targets", on_delete=CASCADE),
+            column("k2", IntegerType(), references="targets", on_delete=SET_NULL),
+        ],
+        "rows",
+    )
+    clean = enforce(twice, spec, {"targets": Target(targets, "key")}).clean
+    assert _executed_plan(clean).count("skew=true") == 2
+    assert clean.count() == n - len(_expected_orphans(n))
+
+
 def test_rows_without_a_key_are_spread(spark, shuffled_joins, hot_rows):
     """No partition of the look-up receives much more than its share of the rows without a key."""
     _, rows, targets = hot_rows

@@ -63,7 +63,8 @@ def test_deduplicate_by_brute_force(spark, rows):
 
 
 def test_deduplicate_keeps_columns_and_is_idempotent(spark):
-    df = spark.createDataFrame([("x", 2, 1.0), ("x", 1, 2.0), (None, 3, 3.0), (None, 4, 4.0)], "t string, id int, v double")
+    rows = [("x", 2, 1.0), ("x", 1, 2.0), (None, 3, 3.0), (None, 4, 4.0)]
+    df = spark.createDataFrame(rows, "t string, id int, v double")
     for keep in ("first", "last", "any", "none"):
         once = deduplicate(df, ["t"], keep, ["id"])
         assert once.columns == df.columns
