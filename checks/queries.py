@@ -241,7 +241,7 @@ def value_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_with_text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    text = F.col("o_orderdate").cast("string")
     zero = F.when(F.col("o_orderstatus") == "P", F.lit("0000-00-00 00:00:00")).otherwise(text)
     return _read(spark, sf_dir, "orders").withColumn("o_orderdate", zero)
 
