@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from checks.queries import QUERIES
+from checks.sql import SQL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 
 
 def _connect(sf_dir):
@@ -47,6 +48,8 @@ def test_query_equals_sql(spark, name, scale):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
