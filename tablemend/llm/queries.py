@@ -7,14 +7,29 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemend.llm import bpe
+from tablemend.llm import bpe, language, quality, secret_scan
 from tablemend.llm.common import read
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(read(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_held_out(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_quality": op5_quality,
+    "op6_secrets": op6_secrets,
     "op8_bpe": op8_bpe,
+    "op10_language": op10_language,
 }
