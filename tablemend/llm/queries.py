@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablemend.llm import bpe, language, quality, secret_scan
+from tablemend.llm import bpe, language, quality, secret_scan, topk
 from tablemend.llm.common import read
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -28,6 +33,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_topk": op4_topk,
     "op5_quality": op5_quality,
     "op6_secrets": op6_secrets,
     "op8_bpe": op8_bpe,

@@ -1,3 +1,21 @@
 """The queries that SQL can express, as DuckDB runs them."""
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, d.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.e, d.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id
+        ), r AS (
+            SELECT query_id, vec_id, score,
+                   row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n
+            FROM s
+        )
+        SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20
+    """,
+}
