@@ -8,10 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import bpe, language, quality, secret_scan, topk
+from tablemend.llm import bpe, language, line_dedup, quality, secret_scan, topk
 from tablemend.llm.common import read
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by host, their lines being the block elements of the HTML."""
+    pages = read(spark, sf_dir, "pages").select(
+        "page_id",
+        line_dedup.host_of(F.col("url")).alias("host"),
+        line_dedup.lines_of_html(F.col("html")).alias("text"),
+    )
+    return line_dedup.drop_boilerplate(pages, F.col("host"), "page_id", ratio=0.1, min_pages=5)
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
@@ -33,6 +43,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_lines": op3_lines,
     "op4_topk": op4_topk,
     "op5_quality": op5_quality,
     "op6_secrets": op6_secrets,

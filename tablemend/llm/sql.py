@@ -1,6 +1,36 @@
 """The queries that SQL can express, as DuckDB runs them."""
 
+from tablemend.llm import line_dedup
+
+_BLOCKS = rf"</?(?:{line_dedup.BLOCKS})(?:[\s/][^>]*)?>"
+_SEEN = "html"
+for _pattern in line_dedup.UNSEEN:
+    _SEEN = f"regexp_replace({_SEEN}, '{_pattern}', '', 'g')"
+
 SQL: dict[str, str] = {
+    "op3_lines": f"""
+        WITH p AS (
+            SELECT page_id, lower(regexp_extract(url, '{line_dedup.HOST}', 1)) AS host,
+                   regexp_replace(regexp_replace({_SEEN}, '{_BLOCKS}', chr(10), 'gi'), '<[^>]*>', '', 'g') AS text
+            FROM pages
+        ), l AS (
+            SELECT page_id, host, line, i
+            FROM (SELECT page_id, host, string_split(text, chr(10)) AS lines FROM p),
+                 UNNEST(lines) WITH ORDINALITY AS u(line, i)
+        ), n AS (
+            SELECT host, trim(line) AS line, count(DISTINCT page_id) AS n FROM l WHERE trim(line) <> '' GROUP BY ALL
+        ), f AS (
+            SELECT n.host, n.line
+            FROM n JOIN (SELECT host, count(*) AS pages FROM p GROUP BY host) t ON n.host = t.host
+            WHERE n >= 5 AND n > 0.1 * pages
+        ), j AS (
+            SELECT l.*, f.line IS NOT NULL AS dropped
+            FROM l LEFT JOIN f ON l.host = f.host AND trim(l.line) = f.line
+        )
+        SELECT page_id, host, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '') AS text,
+               count(*) FILTER (trim(line) <> '') AS n_lines, count(*) FILTER (dropped) AS n_dropped
+        FROM j GROUP BY page_id, host
+    """,
     "op4_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
