@@ -19,7 +19,7 @@ from heapq import heapify, heappop, heappush
 import regex
 from pyspark.sql import DataFrame
 
-from tablemend.llm.common import in_batches, ship, texts_of
+from tablemend.llm.common import in_batches, share, ship, texts_of
 
 ship(__name__)
 
@@ -156,11 +156,11 @@ def encode(documents: DataFrame, vocabulary_path: str, key: str = "doc_id", text
     A null or empty text has no ids. Special tokens in a text are encoded as such. Repeated rows and null keys give a
     row each; other columns take no part, whatever their names. Any text length is taken whole.
     """
-    vocabulary = documents.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
+    coder_of = share(documents.sparkSession, load_vocabulary(vocabulary_path), Coder)
     frame = texts_of(documents, key, text).toDF("key", "text")
 
     def run(batch):
-        coder = _coder(vocabulary)
+        coder = coder_of()
         return {"key": batch.column(0), "ids": [coder.encode(t.as_py()) for t in batch.column(1)]}
 
     kind = frame.schema["key"].dataType.simpleString()
@@ -169,11 +169,11 @@ def encode(documents: DataFrame, vocabulary_path: str, key: str = "doc_id", text
 
 def decode(encoded: DataFrame, vocabulary_path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``(key, text)`` of rows of ids. Null ids give an empty text; bytes that are not UTF-8 become U+FFFD."""
-    vocabulary = encoded.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
+    coder_of = share(encoded.sparkSession, load_vocabulary(vocabulary_path), Coder)
     frame = encoded.select(key, ids).toDF("key", "ids")
 
     def run(batch):
-        coder = _coder(vocabulary)
+        coder = coder_of()
         return {"key": batch.column(0), "text": [coder.decode(i or []) for i in batch.column(1).to_pylist()]}
 
     kind = frame.schema["key"].dataType.simpleString()
@@ -182,11 +182,11 @@ def decode(encoded: DataFrame, vocabulary_path: str, key: str = "doc_id", ids: s
 
 def digests(documents: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_tokens, ids_sha256, decoded_sha256)``: encoded, decoded and summed up in one pass over the texts."""
-    vocabulary = documents.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
+    coder_of = share(documents.sparkSession, load_vocabulary(vocabulary_path), Coder)
     frame = texts_of(documents, key, text).toDF("key", "text")
 
     def run(batch):
-        coder = _coder(vocabulary)
+        coder = coder_of()
         names = [str(i) for i in range(coder.width)]
         counts, ids_sums, text_sums = [], [], []
         for value in batch.column(1):
@@ -199,13 +199,3 @@ def digests(documents: DataFrame, vocabulary_path: str, key: str = "doc_id", tex
     kind = frame.schema["key"].dataType.simpleString()
     schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return in_batches(frame, run, schema).withColumnRenamed("key", key)
-
-
-_CODERS: dict = {}
-
-
-def _coder(vocabulary) -> Coder:
-    """One coder for a task, so that words met in an earlier batch are known."""
-    if vocabulary not in _CODERS:
-        _CODERS[vocabulary] = Coder(vocabulary.value)
-    return _CODERS[vocabulary]

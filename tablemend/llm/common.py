@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 from uuid import uuid4
 
 import pyarrow as pa
@@ -24,6 +26,22 @@ def ship(module: str) -> None:
 ship(__name__)
 
 
+T = TypeVar("T")
+
+
+def share(spark: SparkSession, value: object, make: Callable[..., T] = lambda x: x) -> Callable[[], T]:
+    """Broadcast a value, by value like the functions. A task gets ``make(value)``, made once."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    made: list = []
+
+    def get() -> T:
+        if not made:
+            made.append(make(pickle.loads(sent.value)))
+        return made[0]
+
+    return get
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

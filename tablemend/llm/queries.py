@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import bpe, language, line_dedup, quality, secret_scan, topk
+from tablemend.llm import bpe, decontaminate, language, line_dedup, quality, secret_scan, topk
 from tablemend.llm.common import read
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages by host, their lines being the block elements of the HTML."""
     pages = read(spark, sf_dir, "pages").select(
@@ -43,6 +47,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_lines": op3_lines,
     "op4_topk": op4_topk,
     "op5_quality": op5_quality,
