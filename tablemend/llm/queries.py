@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import bpe, decontaminate, language, line_dedup, quality, secret_scan, topk
+from tablemend.llm import bpe, decontaminate, language, line_dedup, quality, secret_scan, substring_dedup, topk
 from tablemend.llm.common import read
 
 
@@ -42,6 +42,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(read(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(read(spark, sf_dir, "documents"))
 
@@ -53,5 +57,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_secrets": op6_secrets,
     "op8_bpe": op8_bpe,
+    "op9_substrings": op9_substrings,
     "op10_language": op10_language,
 }

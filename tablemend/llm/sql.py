@@ -48,4 +48,27 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20
     """,
+    "op9_substrings": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ), n AS (
+            SELECT doc_id, i, array_to_string(words[i : i + 12], ' ') AS passage
+            FROM w, UNNEST(range(1, len(words) - 11)) AS u(i)
+        ), f AS (
+            SELECT passage, min(doc_id) AS first FROM n GROUP BY passage HAVING min(doc_id) < max(doc_id)
+        ), d AS (
+            SELECT DISTINCT n.doc_id, unnest(range(n.i, n.i + 13)) AS i
+            FROM n JOIN f ON n.passage = f.passage AND n.doc_id > f.first
+        ), p AS (
+            SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
+        ), k AS (
+            SELECT p.doc_id, count(*) AS n_words, count(d.i) AS n_removed,
+                   string_agg(p.word, ' ' ORDER BY p.i) FILTER (d.i IS NULL) AS kept
+            FROM p LEFT JOIN d ON p.doc_id = d.doc_id AND p.i = d.i
+            GROUP BY p.doc_id
+        )
+        SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN k ON w.doc_id = k.doc_id
+    """,
 }

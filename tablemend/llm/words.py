@@ -68,9 +68,9 @@ class Words:
         return len(self.starts)
 
 
-def words_of(texts: Sequence[str], separators: np.ndarray = WHITE, small: bool = False) -> Words:
+def words_of(texts: Sequence[str | bytes], separators: np.ndarray = WHITE, small: bool = False) -> Words:
     """All words of the texts. ``small`` makes A to Z small before hashing."""
-    raw = [t.encode() for t in texts]
+    raw = [t.encode() if isinstance(t, str) else t for t in texts]
     data = np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8)
     if small:
         data = SMALL[data]
