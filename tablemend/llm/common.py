@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: Row numbers that are sent to all executors at most (16 MB); more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
 #: Rows in an Arrow batch. Batches of long texts stay small enough for a worker.
 BATCH_ROWS = "1000"
 
@@ -66,6 +68,27 @@ def texts_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return df.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text))
 
 
+def numbered(df: DataFrame, key: str = "doc_id", text: str = "text", all_columns: bool = False) -> DataFrame:
+    """``(key, row, text)``, with a number of its own for every row, and with ``columns``, a struct of all, if asked for.
+
+    Keys that are unique whole numbers serve as numbers. Otherwise the rows are numbered and written, so that the
+    numbers stay. A null text is empty.
+    """
+    text_of = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
+    rest = [F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("columns")] if all_columns else []
+    counts = df.agg(F.count("*").alias("rows"), F.count_distinct(F.col(key)).alias("keys")).first()
+    whole = df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    if whole and counts["rows"] == counts["keys"]:
+        return df.select(F.col(key).alias("key"), F.col(key).cast("long").alias("row"), text_of, *rest)
+    return stored(df.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), text_of, *rest))
+
+
+def only(df: DataFrame, rows: DataFrame, on: str) -> DataFrame:
+    """The rows of ``df`` whose ``on`` is among ``rows``, a written table. It is broadcast if its size allows it."""
+    small = rows.count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(rows) if small else rows, on, "left_semi")
+
+
 def in_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | dict], schema: str | StructType
 ) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import bpe, decontaminate, language, line_dedup, quality, secret_scan, substring_dedup, topk
+from tablemend.llm import bpe, decontaminate, jaccard, language, line_dedup, quality, secret_scan, substring_dedup, topk
 from tablemend.llm.common import read
 
 
@@ -38,6 +38,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(read(spark, sf_dir, "documents"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.grouped(read(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_topk": op4_topk,
     "op5_quality": op5_quality,
     "op6_secrets": op6_secrets,
+    "op7_jaccard": op7_jaccard,
     "op8_bpe": op8_bpe,
     "op9_substrings": op9_substrings,
     "op10_language": op10_language,

@@ -48,6 +48,36 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20
     """,
+    "op7_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+'
+                   ) AS words
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i : i + 2], ' ') AS shingle
+            FROM w, UNNEST(range(1, greatest(len(words) - 2, least(len(words), 1)) + 1)) AS u(i)
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY ALL
+        ), l AS (
+            SELECT p.a, p.b
+            FROM p JOIN n na ON p.a = na.doc_id JOIN n nb ON p.b = nb.doc_id
+            WHERE 100 * shared >= 90 * (na.n + nb.n - shared)
+        ), r AS (
+            SELECT doc_id AS id, doc_id AS reached FROM w
+            UNION
+            SELECT r.id, l.b FROM r JOIN l ON r.reached = l.a
+        )
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+        FROM w LEFT JOIN n ON w.doc_id = n.doc_id
+        JOIN (SELECT id, min(reached) AS component_id FROM r GROUP BY id) m ON m.id = w.doc_id
+    """,
     "op9_substrings": r"""
         WITH w AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents

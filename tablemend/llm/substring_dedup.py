@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemend.llm.common import in_batches, ship, stored, texts_of
+from tablemend.llm.common import in_batches, numbered, ship
 from tablemend.llm.words import Words, grams, mixed, runs, words_of
 
 ship(__name__)
@@ -192,19 +192,6 @@ def repeated_words(frame: DataFrame, window: int = WINDOW) -> DataFrame:
     return _send(frame, buckets, window).groupBy("bucket").applyInArrow(_solve(window), "row long, low int, high int")
 
 
-def _numbered(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, row, place, text)``: a number of its own for every row, and the key that orders it.
-
-    Keys that are unique serve as numbers. Otherwise the rows are numbered and written, so that the numbers stay.
-    """
-    place = F.coalesce(F.col("key").cast("long"), F.lit(LAST))
-    frame = texts_of(documents, key, text).toDF("key", "text")
-    counts = frame.agg(F.count("*").alias("rows"), F.count_distinct("key").alias("keys")).first()
-    if counts["rows"] == counts["keys"]:
-        return frame.select("key", place.alias("row"), place.alias("place"), "text")
-    return stored(frame.select("key", F.monotonically_increasing_id().alias("row"), place.alias("place"), "text"))
-
-
 def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """``(key, text, n_words, n_removed)``: the words that are left, joined by one space.
 
@@ -213,7 +200,7 @@ def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text"
     one key are judged each against the smaller keys alone, so equal rows of one key stay. Null and empty texts, and texts
     shorter than a window, lose nothing. Other columns take no part.
     """
-    frame = _numbered(documents, key, text)
+    frame = numbered(documents, key, text).withColumn("place", F.coalesce(F.col("key").cast("long"), F.lit(LAST)))
     ranges = (
         repeated_words(frame.select("row", "place", "text"), window)
         .groupBy("row")
