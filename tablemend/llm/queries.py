@@ -8,10 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import bpe, decontaminate, jaccard, language, line_dedup, quality, secret_scan, substring_dedup, topk
+from tablemend.llm import (
+    bpe,
+    decontaminate,
+    jaccard,
+    language,
+    line_dedup,
+    pii,
+    quality,
+    secret_scan,
+    substring_dedup,
+    topk,
+)
 from tablemend.llm.common import read
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(read(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -55,6 +70,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
     "op3_lines": op3_lines,
     "op4_topk": op4_topk,
