@@ -180,22 +180,26 @@ def decode(encoded: DataFrame, vocabulary_path: str, key: str = "doc_id", ids: s
     return in_batches(frame, run, f"key {kind}, text string").withColumnRenamed("key", key)
 
 
-def digests(documents: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, n_tokens, ids_sha256, decoded_sha256)``: encoded, decoded and summed up in one pass over the texts."""
+def digests(
+    documents: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text", with_ids: bool = False
+) -> DataFrame:
+    """``(key, n_tokens, ids_sha256, decoded_sha256)``, and ``ids`` if asked for: encoded, decoded and summed up in one pass."""
     coder_of = share(documents.sparkSession, load_vocabulary(vocabulary_path), Coder)
     frame = texts_of(documents, key, text).toDF("key", "text")
 
     def run(batch):
         coder = coder_of()
         names = [str(i) for i in range(coder.width)]
-        counts, ids_sums, text_sums = [], [], []
+        counts, ids_sums, text_sums, all_ids = [], [], [], []
         for value in batch.column(1):
             ids = coder.encode(value.as_py())
+            if with_ids:
+                all_ids.append(ids)
             counts.append(len(ids))
             ids_sums.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
             text_sums.append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
-        return {"key": batch.column(0), "n_tokens": counts, "ids_sha256": ids_sums, "decoded_sha256": text_sums}
+        return {"key": batch.column(0), "n_tokens": counts, "ids_sha256": ids_sums, "decoded_sha256": text_sums, "ids": all_ids}
 
     kind = frame.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     return in_batches(frame, run, schema).withColumnRenamed("key", key)
