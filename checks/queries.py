@@ -1,7 +1,8 @@
 """One query per operator, over the whole of the given tables.
 
 The given tables hold no orphans, zero dates or blanks, so a query makes some
-with an expression over all rows before it calls the operator.
+with an expression over all rows before it calls the operator. A key is taken away
+from its referrers by another value, ``-1 - key``; its row stays.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql.types import (
 )
 
 from tablemend import CASCADE, DO_NOTHING, SET_NULL, Catalog, JoinInto, column, table
-from tablemend.functions import below
+from tablemend.functions import below, register_rule
 from tablemend.operators import (
     DedupRule,
     Target,
@@ -41,6 +42,7 @@ from tablemend.operators import (
     orphan_counts,
     orphans,
     profile,
+    project_all,
     project_to_target,
     publish,
     publish_counts,
@@ -89,8 +91,17 @@ def _orders_referring(policy: str):
     )
 
 
+def _moved(df: DataFrame, key: str, stays: str) -> DataFrame:
+    """All rows, with another key where ``stays`` does not hold."""
+    return df.withColumn(key, F.expr(f"CAST(CASE WHEN {stays} THEN {key} ELSE -1 - {key} END AS {df.schema[key].dataType.simpleString()})"))
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moved(_read(spark, sf_dir, "customer"), "c_custkey", "c_acctbal > 0")
+
+
 def _live_customers(spark: SparkSession, sf_dir: str) -> Target:
-    return Target(_read(spark, sf_dir, "customer").where("c_acctbal > 0"), "c_custkey")
+    return Target(_customers(spark, sf_dir), "c_custkey")
 
 
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,8 +159,8 @@ LINE_CATALOG = Catalog(
 
 def _line_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
-        "part": _read(spark, sf_dir, "part").where("p_size <= 40"),
-        "supplier": _read(spark, sf_dir, "supplier").where("s_acctbal > 0"),
+        "part": _moved(_read(spark, sf_dir, "part"), "p_partkey", "p_size <= 40"),
+        "supplier": _moved(_read(spark, sf_dir, "supplier"), "s_suppkey", "s_acctbal > 0"),
         "lineitem": _read(spark, sf_dir, "lineitem"),
     }
 
@@ -196,7 +207,7 @@ ORDER_LINE_CATALOG = Catalog(
 
 def fk_cascade_transitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {
-        "customer": _live_customers(spark, sf_dir).rows,
+        "customer": _customers(spark, sf_dir),
         "orders": _read(spark, sf_dir, "orders"),
         "lineitem": _read(spark, sf_dir, "lineitem"),
     }
@@ -303,11 +314,28 @@ PRIORITY_NUMBER = table(
 
 
 def _orders_with_priority_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # "5-LOW" is no number; the digit alone is.
-    digit = F.when(F.col("o_orderstatus") != "F", F.substring("o_orderpriority", 1, 1))
+    # "5-LOW" is no number; the text of a customer's key is.
+    number = F.when(F.col("o_orderstatus") != "F", F.col("o_custkey").cast("string"))
     return _read(spark, sf_dir, "orders").select(
-        "o_orderkey", F.coalesce(digit, F.col("o_orderpriority")).alias("o_orderpriority")
+        "o_orderkey", F.coalesce(number, F.col("o_orderpriority")).alias("o_orderpriority")
+    )
+
+
+def user_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule of the caller's own, attached to a column by name."""
+    register_rule("first_word", lambda value, data_type, mark: F.substring_index(value, mark, 1))
+    spec = table(
+        "orders",
+        [column("o_orderkey", LONG, key=True), column("o_orderpriority", TEXT, rule="first_word", args={"mark": "-"})],
+        target="orders",
     )
+    return normalize(_read(spark, sf_dir, "orders"), spec)
+
+
+def row_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The condition that a contract puts on the rows of its table."""
+    catalog = Catalog([replace(CUSTOMER, row_filter="c_acctbal > 0")])
+    return read_tables(spark, catalog, sf_dir)["customer"]
 
 
 def cast_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,8 +358,8 @@ def dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Which row of a group stays is free, so only the deciding columns are compared.
-    return deduplicate(_read(spark, sf_dir, "documents"), ["text", "lang"], "any").select("text", "lang")
+    # Which row of a group stays is free; the length goes by the text, so it is the same in all of them.
+    return deduplicate(_read(spark, sf_dir, "documents"), ["text", "lang"], "any").select("text", "lang", "n_chars")
 
 
 def dedup_none(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,9 +387,8 @@ def left_join_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def left_join_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dependent whose key repeats: customers with their orders, if any."""
-    customers = _read(spark, sf_dir, "customer").where("c_nationkey < 20")
-    some = _read(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
-    return left_join(customers, some, "c_custkey", "o_custkey", unique_key=False)
+    orders = _read(spark, sf_dir, "orders")
+    return left_join(_customers(spark, sf_dir), orders, "c_custkey", "o_custkey", unique_key=False)
 
 
 def _joined_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -419,10 +446,7 @@ def _order_places(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("o_orderkey").alias("orderkey"), (F.col("n_regionkey") + 1000).alias("place"))
     )
-    # The operator reads its links twice, so they are worked out once and written.
-    path = _scratch(spark)
-    write_table(supplied.unionByName(sold), path)
-    return read_table(spark, path), tree
+    return supplied.unionByName(sold), tree
 
 
 def reduce_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,11 +512,16 @@ def asset_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asset_publish_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every nation's customers as a file of its own; published with the nations' names, which name no file."""
     scratch = _scratch(spark)
-    report = publish(
-        _files_of_nations(spark, sf_dir), sf_dir, f"{scratch}/published", f"{scratch}/report", tasks=4
-    )
-    return publish_counts(report)
+    files = _read(spark, sf_dir, "customer").repartition("c_nationkey").select("c_nationkey", "c_name")
+    files.sortWithinPartitions("c_nationkey").write.partitionBy("c_nationkey").text(f"{scratch}/files")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
+    written = listed.load(f"{scratch}/files").select(F.regexp_extract("path", "/files/(.*)$", 1).alias("path"))
+    names = _files_of_nations(spark, sf_dir).select("path")
+    folders = _read(spark, sf_dir, "customer").select(F.concat(F.lit("c_nationkey="), "c_nationkey").alias("path"))
+    paths = written.unionByName(names).unionByName(folders)
+    return publish_counts(publish(paths, f"{scratch}/files", f"{scratch}/published", f"{scratch}/report", tasks=4))
 
 
 # --- quality ----------------------------------------------------------------
@@ -590,7 +619,6 @@ TRADE_CATALOG = Catalog(
             ],
             target="target_nation",
             join_to=JoinInto("customer", "c_nationkey"),
-            row_filter="n_nationkey <> 7",
         ),
         replace(REGION, join_to=JoinInto("customer", "n_regionkey")),
         table(
@@ -602,7 +630,6 @@ TRADE_CATALOG = Catalog(
                 column("c_mktsegment", TEXT, rule="value_to_none", args={"gauge": "MACHINERY"}),
             ],
             target="target_customer",
-            row_filter="c_acctbal > 0",
         ),
         table(
             "orders",
@@ -621,8 +648,12 @@ TRADE_DEDUP = {"orders": DedupRule(("o_custkey", "o_orderdate"))}
 
 
 def _raw_trade(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    lookups = read_tables(spark, TRADE_CATALOG, sf_dir, ["nation", "region", "customer"])
-    return {**lookups, "orders": _orders_with_text_dates(spark, sf_dir)}
+    return {
+        "nation": _moved(_read(spark, sf_dir, "nation"), "n_nationkey", "n_nationkey <> 7"),
+        "region": _read(spark, sf_dir, "region"),
+        "customer": _customers(spark, sf_dir),
+        "orders": _orders_with_text_dates(spark, sf_dir),
+    }
 
 
 def _clean_trade(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -642,6 +673,18 @@ def clean_catalog_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clean_catalog_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job's tables under their target names; the orders of them."""
+    return project_all(TRADE_CATALOG, _clean_trade(spark, sf_dir))["target_orders"]
+
+
+def clean_catalog_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the job sets aside, read from the same written tables as the rows it keeps."""
+    result = clean(TRADE_CATALOG, _raw_trade(spark, sf_dir), dedup_rules=TRADE_DEDUP, work_dir=_scratch(spark))
+    kept = result.tables["orders"].select("o_orderkey", F.lit("kept").alias("state"))
+    return kept.unionByName(result.quarantine["orders"].select("o_orderkey", F.col("_fk").alias("state")))
+
+
 PLACES_CATALOG = Catalog(
     [
         table("places", [column("place", INT, key=True), column("parent", INT)], target="places"),
@@ -686,6 +729,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         int_to_bool,
         html_unescape,
         normalize_table,
+        user_rule,
+        row_filter,
         cast_lenient,
         cast_rejects,
         dedup_first,
@@ -715,6 +760,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stage_restore,
         clean_catalog,
         clean_catalog_customers,
+        clean_catalog_targets,
+        clean_catalog_quarantine,
         clean_links,
     )
 }

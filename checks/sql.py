@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-_LIVE = "(SELECT c_custkey FROM customer WHERE c_acctbal > 0)"
+_CUSTOMERS = "(SELECT * REPLACE (CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -1 - c_custkey END AS c_custkey) FROM customer)"
+_LIVE = f"(SELECT c_custkey FROM {_CUSTOMERS})"
 _BROKEN = f"(o_custkey IS NOT NULL AND o_custkey <> 0 AND o_custkey NOT IN {_LIVE})"
 
 _LINES = """
 WITH checked AS (
   SELECT l.*,
-         l_partkey <> 0 AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40) AS no_part,
-         l_suppkey <> 0 AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AS no_supplier
+         l_partkey <> 0 AND l_partkey NOT IN (
+           SELECT CASE WHEN p_size <= 40 THEN p_partkey ELSE -1 - p_partkey END FROM part) AS no_part,
+         l_suppkey <> 0 AND l_suppkey NOT IN (
+           SELECT CASE WHEN s_acctbal > 0 THEN s_suppkey ELSE -1 - s_suppkey END FROM supplier) AS no_supplier
   FROM lineitem l)
 """
 _SWEPT = (
@@ -28,7 +31,7 @@ SELECT * EXCLUDE (no_part, no_supplier), 'lineitem' AS _table, 'l_partkey' AS _f
 FROM checked WHERE no_part
 UNION ALL
 SELECT * EXCLUDE (no_part, no_supplier), 'lineitem', 'l_suppkey', 'supplier', 'SET_NULL'
-FROM checked WHERE no_supplier AND NOT no_part
+FROM checked WHERE no_supplier
 """
 )
 
@@ -53,10 +56,9 @@ links AS (
   UNION ALL
   SELECT o_orderkey, n_regionkey + 1000
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
-SELECT orderkey, place FROM links x
-WHERE NOT EXISTS (
-  SELECT 1 FROM links y JOIN tree t ON y.place = t.place
-  WHERE y.orderkey = x.orderkey AND t.parent = x.place)
+, covered AS MATERIALIZED (
+  SELECT DISTINCT l.orderkey, t.parent AS place FROM links l JOIN tree t ON l.place = t.place)
+SELECT orderkey, place FROM links ANTI JOIN covered USING (orderkey, place)
 """
 
 _URLS = "SELECT DISTINCT url FROM pages WHERE page_id % 5 <> 0 AND trim(url) <> ''"
@@ -118,7 +120,7 @@ WHERE rn = 1
 
 _PRIORITY = """
 SELECT o_orderkey,
-       CASE WHEN o_orderstatus <> 'F' THEN substr(o_orderpriority, 1, 1) ELSE o_orderpriority END AS o_orderpriority
+       CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS VARCHAR) ELSE o_orderpriority END AS o_orderpriority
 FROM orders
 """
 
@@ -166,7 +168,7 @@ SQL: dict[str, str] = {
         WHERE TRY_CAST(o_orderpriority AS INTEGER) IS NULL""",
     "dedup_first": _FIRST_DOC.format(direction="ASC"),
     "dedup_last": _FIRST_DOC.format(direction="DESC"),
-    "dedup_any": "SELECT DISTINCT text, lang FROM documents",
+    "dedup_any": "SELECT DISTINCT text, lang, n_chars FROM documents",
     "dedup_none": """
         SELECT * FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) = 1)""",
     "dedup_lines": """
@@ -180,9 +182,9 @@ SQL: dict[str, str] = {
     "left_join_lookup": """
         SELECT d.*, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "left_join_repeated": """
-        SELECT c.*, o.* EXCLUDE (o_custkey)
-        FROM (SELECT * FROM customer WHERE c_nationkey < 20) c
-        LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') o ON c_custkey = o_custkey""",
+        SELECT c.*, o.* EXCLUDE (o_custkey) FROM {customers} c LEFT JOIN orders o ON c_custkey = o_custkey""".format(
+        customers=_CUSTOMERS
+    ),
     "left_join_chain": _CHAIN,
     "target_projection": f"""
         SELECT c_custkey AS id, c_name, c_nationkey, c_mktsegment, n_name, n_regionkey, r_name FROM ({_CHAIN})""",
@@ -198,9 +200,13 @@ SQL: dict[str, str] = {
         SELECT *, path IN ('region.parquet', 'nation.parquet') AS present
         FROM ({_MANIFEST} UNION ALL {_NATION_FILES})""",
     "asset_publish_counts": f"""
-        SELECT CASE WHEN path LIKE '../%' THEN 'rejected' WHEN path LIKE '%.parquet' THEN 'copied'
-                    ELSE 'missing' END AS status, count(*) AS files
-        FROM ({_NATION_FILES}) GROUP BY 1""",
+        SELECT status, count(DISTINCT path) AS files FROM (
+          SELECT 'copied' AS status, CAST(c_nationkey AS VARCHAR) AS path FROM customer
+          UNION ALL
+          SELECT 'missing', 'c_nationkey=' || c_nationkey FROM customer
+          UNION ALL
+          SELECT CASE WHEN path LIKE '../%' THEN 'rejected' ELSE 'missing' END, path FROM ({_NATION_FILES}))
+        GROUP BY status""",
     "table_profile": _profile(),
     "quality_violations": _QUALITY,
     "fill_default": """
@@ -217,12 +223,18 @@ SQL: dict[str, str] = {
     "clean_catalog": f"""
         SELECT o_orderkey AS id, o_custkey, o_orderstatus, o_totalprice, o_orderdate
         FROM ({_KEPT_ORDERS}) WHERE NOT {_BROKEN}""",
-    "clean_catalog_customers": """
+    "clean_catalog_targets": f"""
+        SELECT o_orderkey AS id, o_custkey, o_orderstatus, o_totalprice, o_orderdate
+        FROM ({_KEPT_ORDERS}) WHERE NOT {_BROKEN}""",
+    "clean_catalog_quarantine": f"""
+        SELECT o_orderkey, CASE WHEN {_BROKEN} THEN 'o_custkey' ELSE 'kept' END AS state FROM ({_KEPT_ORDERS})""",
+    "user_rule": "SELECT o_orderkey, split_part(o_orderpriority, '-', 1) AS o_orderpriority FROM orders",
+    "row_filter": "SELECT * FROM customer WHERE c_acctbal > 0",
+    "clean_catalog_customers": f"""
         SELECT c_custkey AS id, c_name, CASE WHEN c_nationkey <> 7 THEN c_nationkey END AS c_nationkey,
                nullif(c_mktsegment, 'MACHINERY') AS c_mktsegment, n_name, n_regionkey, r_name
-        FROM customer
+        FROM {_CUSTOMERS}
         LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 7) ON c_nationkey = n_nationkey
-        LEFT JOIN region ON n_regionkey = r_regionkey
-        WHERE c_acctbal > 0""",
+        LEFT JOIN region ON n_regionkey = r_regionkey""",
     "clean_links": _PLACES,
 }

@@ -78,6 +78,7 @@ def int_to_bool(value: Column, data_type: DataType) -> Column:
     return F.coalesce(truth, F.lit(False))
 
 
+# The names by which contracts call the rules.
 _RULES: dict[str, Rule] = {
     "to_html": to_html,
     "zero_to_none": zero_to_none,

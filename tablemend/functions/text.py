@@ -27,7 +27,7 @@ def has_text(value: Column) -> Column:
 
 def is_safe_path(path: Column) -> Column:
     """True for a relative path that stays below its base folder."""
-    absolute = path.startswith("/") | path.startswith("\\") | path.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:")
+    absolute = path.startswith("/") | path.startswith("\\") | path.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.-]*://|[A-Za-z]:[/\\])")
     return ~(absolute | path.rlike(r"(^|[/\\])\.\.([/\\]|$)"))
 
 

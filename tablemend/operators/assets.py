@@ -7,6 +7,7 @@ import shutil
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from uuid import uuid4
 
 import pyarrow as pa
 from pyarrow import fs
@@ -60,8 +61,8 @@ def with_presence(paths: DataFrame, base_uri: str, tasks: int | None = None, thr
     ``base_uri`` is a path or URI every executor can read. The tasks ask for
     their own paths, ``threads`` at a time; the folder is never listed, so
     neither its size nor the number of paths reaches the driver. Paths that
-    would leave the base folder are not looked up and count as absent. A folder
-    is present and has no length.
+    would leave the base folder are not looked up and count as absent, and so do
+    folders: an asset is a file.
     """
     schema = StructType(paths.schema.fields).add("present", "boolean").add("length", "long")
     base_uri = _arrow_uri(base_uri)
@@ -74,8 +75,8 @@ def with_presence(paths: DataFrame, base_uri: str, tasks: int | None = None, thr
                 table = pa.Table.from_batches([batch])
                 asked = zip(table.column("path").to_pylist(), table.column("__safe").to_pylist(), strict=True)
                 infos = list(pool.map(lambda a: filesystem.get_file_info(f"{base}/{a[0]}") if a[1] else None, asked))
-                present = [i is not None and i.type != fs.FileType.NotFound for i in infos]
-                lengths = [i.size if ok and i.type == fs.FileType.File else None for i, ok in zip(infos, present)]
+                present = [i is not None and i.type == fs.FileType.File for i in infos]
+                lengths = [i.size if ok else None for i, ok in zip(infos, present)]
                 table = table.drop_columns(["__safe"])
                 table = table.append_column("present", pa.array(present, pa.bool_()))
                 table = table.append_column("length", pa.array(lengths, pa.int64()))
@@ -96,9 +97,12 @@ def publish(
 
     The report has ``(path, status, error, length)``, status one of ``copied``,
     ``missing``, ``rejected`` and ``failed``; a file that cannot be copied never
-    fails the job. The key at the destination is the relative path, so a task
-    that runs again after a lost executor writes the same files again. The
-    report is written once and read back: reading it repeats no copy.
+    fails the job, and a folder is no file (``missing``). The key at the
+    destination is the relative path, so a task that runs again after a lost
+    executor writes the same files again. A file gets its key only when it is
+    whole: it is written beside it, its size compared, and then moved. The report
+    is written once and read back: reading it repeats no copy. ``length`` is the
+    number of bytes at the destination.
 
     ``tasks`` is the number of copying tasks, by default the session's shuffle
     partitions; each copies ``threads`` files at a time, in pieces of 1 MB.
@@ -112,6 +116,21 @@ def publish(
         base, target_base = base.rstrip("/"), target_base.rstrip("/")
         has_folders = target.type_name not in ("s3", "gcs", "abfs")
 
+        def copy_whole(origin: str, key: str, size: int) -> int:
+            part = f"{key}.part-{uuid4().hex}"
+            try:
+                with source.open_input_stream(origin) as src, target.open_output_stream(part) as dst:
+                    shutil.copyfileobj(src, dst, 1 << 20)
+                written = target.get_file_info(part).size
+                if written != size:
+                    raise OSError(f"{written} of {size} bytes were copied")
+                target.move(part, key)
+                return written
+            except BaseException:
+                if target.get_file_info(part).type == fs.FileType.File:
+                    target.delete_file(part)
+                raise
+
         def copy_one(row: dict) -> dict:
             path = row["path"]
             report = {"path": path, "status": "rejected", "error": None, "length": None}
@@ -119,15 +138,14 @@ def publish(
                 return report
             try:
                 info = source.get_file_info(f"{base}/{path}")
-                if info.type == fs.FileType.NotFound:
+                if info.type != fs.FileType.File:
                     return {**report, "status": "missing"}
                 key = f"{target_base}/{path}"
-                with source.open_input_stream(f"{base}/{path}") as src:
-                    if has_folders:
-                        target.create_dir(key.rsplit("/", 1)[0], recursive=True)
-                    with target.open_output_stream(key) as dst:
-                        shutil.copyfileobj(src, dst, 1 << 20)
-                return {**report, "status": "copied", "length": info.size}
+                if has_folders:
+                    target.create_dir(key.rsplit("/", 1)[0], recursive=True)
+                if target.get_file_info(key).type == fs.FileType.Directory:
+                    raise IsADirectoryError(key)
+                return {**report, "status": "copied", "length": copy_whole(f"{base}/{path}", key, info.size)}
             except Exception as e:  # a file that cannot be copied is a row, not a failed job
                 return {**report, "status": "failed", "error": f"{type(e).__name__}: {e}"}
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import DataFrame, Window
@@ -26,7 +27,6 @@ class DedupRule:
     subset: tuple[str, ...]
     keep: Keep = "first"
     order_by: tuple[str, ...] = ()
-    comment: str = ""
 
 
 def deduplicate(
@@ -35,25 +35,27 @@ def deduplicate(
     """Keep one row, or none, of every group that agrees on ``subset``. NULLs form a group.
 
     All four forms shrink each group inside the map tasks before the shuffle:
-    ``first``/``last`` through the group limit Spark derives from
-    ``row_number() = 1``, the others through partial aggregation. So a text
-    that a third of the rows share reaches the reducer as one row per map task.
+    ``first``/``last``/``any`` through the group limit Spark derives from
+    ``row_number() = 1``, ``none`` by counting the deciding columns alone with
+    partial sums. So a text that a third of the rows share is one row per map
+    task. ``none`` then drops the repeated values by an anti join, whose large
+    side can be split.
     """
-    if keep in ("first", "last"):
+    if keep in ("first", "last", "any"):
+        if keep == "any":
+            order_by = list(subset)[:1]
         if not order_by:
             raise ValueError(f"keep={keep!r} needs order_by: a table has no order of its own")
-        ordering = [named(c).asc() if keep == "first" else named(c).desc() for c in order_by]
+        ordering = [named(c).asc() if keep != "last" else named(c).desc() for c in order_by]
         window = Window.partitionBy([named(c) for c in subset]).orderBy(ordering)
         return df.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
-    if keep == "any":
-        return df.dropDuplicates(list(subset))
     if keep == "none":
-        rest = [c for c in df.columns if c not in subset]
-        # The first row of a group of one is that row.
-        rows = F.first(F.struct(*[named(c) for c in rest])).alias("__row") if rest else F.lit(None).alias("__row")
-        groups = df.groupBy(*[named(c) for c in subset]).agg(F.count(F.lit(1)).alias("__rows"), rows)
-        back = [named(c) if c in subset else F.col("__row").getField(c).alias(c) for c in df.columns]
-        return groups.where("__rows = 1").select(back)
+        keys = [named(c).alias(f"__key_{i}") for i, c in enumerate(subset)]
+        names = [f"__key_{i}" for i in range(len(keys))]
+        counted = df.select(keys).groupBy(*names).agg(F.count(F.lit(1)).alias("__rows"))
+        repeated = counted.where("__rows > 1").select(*names)
+        same = [named(c).eqNullSafe(F.col(n)) for c, n in zip(subset, names, strict=True)]
+        return df.join(repeated, reduce(lambda a, b: a & b, same), "left_anti")
     raise ValueError(f"keep must be first, last, any or none, not {keep!r}")
 
 

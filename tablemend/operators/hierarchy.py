@@ -15,9 +15,9 @@ def reduce_to_deepest(
     """Drop a link (item, X) when the item is also linked to a node whose direct parent is X.
 
     One level only; rows that repeat a link are all kept. The tree is narrowed
-    to its distinct (node, parent) pairs and the pairs to avoid are made
-    distinct before the second join, so neither a popular item or node nor
-    repeated links multiply rows.
+    to its distinct (node, parent) pairs. An anti join is not multiplied by
+    repeated pairs, so those to avoid go into it as they are: links and pairs
+    cross one exchange each, in the shape that can be split.
     """
     parents = (
         tree.where(all_present([tree_node, tree_parent]))
@@ -27,4 +27,4 @@ def reduce_to_deepest(
     covered = links.join(parents, F.expr(f"{quoted(node)} = __node")).selectExpr(
         f"{quoted(item)} AS __item", "__parent"
     )
-    return with_key_not_in(links, [item, node], covered, ["__item", "__parent"])
+    return with_key_not_in(links, [item, node], covered, ["__item", "__parent"], distinct=False)

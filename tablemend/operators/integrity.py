@@ -2,8 +2,9 @@
 
 A foreign key is *broken* when it is set (not NULL, and not 0 for numbers) and
 its value is not a key of the target table. CASCADE drops the row, SET_NULL
-clears the column, any other policy keeps the row. Broken rows go to a
-quarantine under every policy, with the policy written next to them.
+clears the column, any other policy keeps the row. Every key is checked against
+the rows as given, and every broken key of a row goes to the quarantine, whatever
+its policy and whatever other keys do to the row.
 
 Two ways to the same result:
 
@@ -21,29 +22,35 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from functools import cached_property, reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from tablemend.contract import CASCADE, SET_NULL, Catalog, ForeignKey, TableSpec
+from tablemend.contract import CASCADE, SET_NULL, Catalog, ContractError, ForeignKey, TableSpec
 from tablemend.functions.text import named, quoted
 from tablemend.operators.keys import fk_value, is_set, mark, with_key_in, with_key_not_in
-from tablemend.sources.files import write_tables
+from tablemend.sources.files import write_table, write_tables
 
 
 class Target:
-    """A table that foreign keys point at, and its key column."""
+    """A table that foreign keys point at, and its key column.
 
-    def __init__(self, rows: DataFrame, key: str):
+    ``unique`` says that the key hardly repeats, as a primary key should; it
+    saves an exchange and never changes a result.
+    """
+
+    def __init__(self, rows: DataFrame, key: str, unique: bool = False):
         self.rows = rows
         self.key = key
+        self.unique = unique
 
 
 def orphans(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
     """Rows whose foreign key is set and refers to nothing."""
     candidates = df.where(is_set(df.schema, fk_column))
-    return with_key_not_in(candidates, [fk_column], target.rows, [target.key], spread_by=())
+    return with_key_not_in(candidates, [fk_column], target.rows, [target.key], (), distinct=not target.unique)
 
 
 def broken_keys(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
@@ -52,7 +59,7 @@ def broken_keys(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
     Rows are counted before the shuffle, so this moves distinct values only.
     """
     counted = df.where(is_set(df.schema, fk_column)).groupBy(named(fk_column)).agg(F.count(F.lit(1)).alias("rows"))
-    return with_key_not_in(counted, [fk_column], target.rows, [target.key], spread_by=())
+    return with_key_not_in(counted, [fk_column], target.rows, [target.key], (), distinct=not target.unique)
 
 
 def rows_with_keys(df: DataFrame, column: str, keys: DataFrame, key_column: str) -> DataFrame:
@@ -71,8 +78,8 @@ def _any(keys: Sequence[ForeignKey]) -> str:
 class Checked:
     """One table against its targets: ``clean`` rows and the ``quarantine``, each built when first used.
 
-    Keys apply in declared order: a row dropped by one key is not reported by a
-    later one.
+    With ``path`` the table is written there once, with a flag per key, and both
+    are read from it.
     """
 
     def __init__(
@@ -82,16 +89,27 @@ class Checked:
         targets: Mapping[str, Target],
         zero_as_null: bool = False,
         broken: Mapping[str, DataFrame] | None = None,
+        path: str | None = None,
     ):
         self._df = df
         self._spec = spec
         self._targets = targets
         self._zero_as_null = zero_as_null
         self._broken = broken
+        self._path = path
         self._keys = [fk for fk in spec.foreign_keys if fk.target in targets]
 
+    @cached_property
+    def _written(self) -> DataFrame:
+        marked = self._mark(self._keys)
+        write_table(marked, self._path)
+        return marked.sparkSession.read.schema(marked.schema).parquet(self._path)
+
     def _marked(self, keys: Sequence[ForeignKey]) -> DataFrame:
         """The table with a flag per foreign key that tells whether it is broken."""
+        return self._written if self._path else self._mark(keys)
+
+    def _mark(self, keys: Sequence[ForeignKey]) -> DataFrame:
         df = self._df
         schema, spread_by = df.schema, self._spec.primary_key or None
         for fk in keys:
@@ -121,27 +139,39 @@ class Checked:
                 value = f"CASE WHEN NOT {quoted(_flag(fk))} THEN {value} END"
             if value != quoted(fk.column):
                 values[fk.column] = F.expr(value).alias(fk.column, metadata=schema[fk.column].metadata)
-        return (marked.withColumns(values) if values else marked).drop(*map(_flag, acting))
+        return (marked.withColumns(values) if values else marked).drop(*map(_flag, self._keys))
 
     @cached_property
     def quarantine(self) -> DataFrame:
         if not self._keys:
-            labels = [f"'' AS {c}" for c in ("_table", "_fk", "_target", "_policy")]
-            return self._df.where("false").selectExpr("*", *labels)
-        faults = []
-        for i, fk in enumerate(self._keys):
-            fault = f"struct('{fk.column}' AS _fk, '{fk.target}' AS _target, '{fk.on_delete}' AS _policy)"
-            gone = _any([k for k in self._keys[:i] if k.on_delete == CASCADE])
-            faults.append(f"CASE WHEN {quoted(_flag(fk))} AND NOT ({gone}) THEN {fault} END")
+            labels = [F.lit("").alias(c) for c in ("_table", "_fk", "_target", "_policy")]
+            return self._df.where("false").select("*", *labels)
+        faults = [
+            F.when(
+                named(_flag(fk)),
+                F.struct(
+                    F.lit(fk.column).alias("_fk"), F.lit(fk.target).alias("_target"), F.lit(fk.on_delete).alias("_policy")
+                ),
+            )
+            for fk in self._keys
+        ]
         return (
             self._marked(self._keys)
             .where(_any(self._keys))
-            .selectExpr("*", f"'{self._spec.name}' AS _table", f"explode(array({', '.join(faults)})) AS __fault")
-            .where("__fault IS NOT NULL")
-            .selectExpr("*", "__fault.*")
+            .select("*", F.lit(self._spec.name).alias("_table"), F.explode(F.array_compact(F.array(*faults))).alias("__fault"))
+            .select("*", "__fault.*")
             .drop("__fault", *map(_flag, self._keys))
         )
 
+    def fault_counts(self) -> DataFrame | None:
+        """Broken rows per foreign key, ``(_table, _fk, rows)``, from the key columns alone; None without keys."""
+        counts = []
+        for fk in self._keys:
+            broken = self._broken[fk.column] if self._broken else broken_keys(self._df, fk.column, self._targets[fk.target])
+            labels = F.lit(self._spec.name).alias("_table"), F.lit(fk.column).alias("_fk")
+            counts.append(broken.agg(F.sum("rows").alias("rows")).where("rows IS NOT NULL").select(*labels, "rows"))
+        return reduce(DataFrame.unionByName, counts) if counts else None
+
 
 def enforce(
     df: DataFrame,
@@ -149,16 +179,23 @@ def enforce(
     targets: Mapping[str, Target],
     zero_as_null: bool = False,
     work_dir: str | None = None,
+    write_once: bool = False,
 ) -> Checked:
     """Enforce all foreign keys of one table whose target is at hand.
 
     ``zero_as_null`` also clears keys that hold 0 for "not set". ``work_dir``
-    (a shared folder) selects the two-pass way, whose first pass runs now.
+    (a shared folder) selects the two-pass way, whose first pass runs now. With
+    ``write_once`` the checked table is written there as well, so that clean
+    rows and quarantine come of one look at it. Every call writes to a folder
+    of its own below ``work_dir``; what it returns reads from there.
     """
-    broken = None
-    if work_dir is not None:
-        broken = _written_broken_keys(df, spec, targets, f"{work_dir.rstrip('/')}/{spec.name}")
-    return Checked(df, spec, targets, zero_as_null, broken)
+    if work_dir is None:
+        if write_once:
+            raise ValueError("write_once needs a work_dir")
+        return Checked(df, spec, targets, zero_as_null)
+    run = f"{work_dir.rstrip('/')}/run-{uuid4().hex}/{spec.name}"
+    broken = _written_broken_keys(df, spec, targets, f"{run}/broken")
+    return Checked(df, spec, targets, zero_as_null, broken, f"{run}/checked" if write_once else None)
 
 
 def _written_broken_keys(
@@ -167,7 +204,7 @@ def _written_broken_keys(
     keys = {
         fk.column: broken_keys(df, fk.column, targets[fk.target]) for fk in spec.foreign_keys if fk.target in targets
     }
-    write_tables(keys, root, mode="overwrite")
+    write_tables(keys, root)
     return {c: df.sparkSession.read.schema(k.schema).parquet(f"{root}/{c}") for c, k in keys.items()}
 
 
@@ -186,6 +223,9 @@ class Quarantine(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._checked)
 
+    def counts(self) -> list[DataFrame]:
+        return [c for c in (checked.fault_counts() for checked in self._checked.values()) if c is not None]
+
 
 def sweep(
     catalog: Catalog,
@@ -193,12 +233,15 @@ def sweep(
     transitive: bool = False,
     zero_as_null: bool = False,
     work_dir: str | None = None,
+    write_once: bool = False,
 ) -> tuple[dict[str, DataFrame], Quarantine]:
     """Enforce the foreign keys of every table; returns clean tables and quarantines by table.
 
     Targets are the tables as given, so a dropped row does not orphan the rows
     that refer to it. With ``transitive`` targets are cleaned first and it
-    does. Keys whose target is not among the tables are skipped.
+    does; a table that refers to itself is then cleaned until nothing more is
+    dropped, which takes a ``work_dir``. Keys whose target is not among the
+    tables are skipped.
     """
     clean = dict(tables)
     checked: dict[str, Checked] = {}
@@ -206,17 +249,41 @@ def sweep(
         spec = catalog[name]
         source = clean if transitive else tables
         targets = {
-            fk.target: Target(source[fk.target], catalog[fk.target].key_column)
+            fk.target: Target(source[fk.target], catalog[fk.target].key_column, unique=True)
             for fk in spec.foreign_keys
             if fk.target in source
         }
         if targets:
-            checked[name] = enforce(tables[name], spec, targets, zero_as_null, work_dir)
+            if transitive and any(fk.target == name and fk.on_delete == CASCADE for fk in spec.foreign_keys):
+                targets[name] = _fixpoint(tables[name], spec, targets, work_dir)
+            checked[name] = enforce(tables[name], spec, targets, zero_as_null, work_dir, write_once)
             clean[name] = checked[name].clean
     return clean, Quarantine(checked)
 
 
+def _fixpoint(df: DataFrame, spec: TableSpec, targets: Mapping[str, Target], work_dir: str | None) -> Target:
+    """The rows of a table that refers to itself which are left when every cascade has run its course."""
+    if work_dir is None:
+        raise ContractError(f"{spec.name} refers to itself: a transitive sweep of it needs a work_dir")
+    key, rows = targets[spec.name].key, df.count()
+    left = Target(df, key, unique=True)
+    while True:
+        keys = enforce(df, spec, {**targets, spec.name: left}, work_dir=work_dir).clean.select(named(key))
+        path = f"{work_dir.rstrip('/')}/run-{uuid4().hex}/{spec.name}"
+        write_table(keys, path)
+        left = Target(df.sparkSession.read.schema(keys.schema).parquet(path), key, unique=True)
+        before, rows = rows, left.rows.count()
+        if rows == before:
+            return left
+
+
 def orphan_counts(quarantine: Mapping[str, DataFrame]) -> DataFrame | None:
-    """Broken rows per table and foreign key: ``(_table, _fk, rows)``; None when no table has keys."""
-    counts = [q.groupBy("_table", "_fk").agg(F.count(F.lit(1)).alias("rows")) for q in quarantine.values()]
+    """Broken rows per table and foreign key: ``(_table, _fk, rows)``; None when no table has keys.
+
+    A quarantine as ``sweep`` returns it is not built for that: the values of each key are counted and looked up.
+    """
+    if isinstance(quarantine, Quarantine):
+        counts = quarantine.counts()
+    else:
+        counts = [q.groupBy("_table", "_fk").agg(F.count(F.lit(1)).alias("rows")) for q in quarantine.values()]
     return reduce(DataFrame.unionByName, counts) if counts else None

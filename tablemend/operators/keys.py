@@ -7,8 +7,9 @@ those keys? The rows are many and wide, the keys are narrow. So
   key inside each map task, so a hot key costs one row per task, and a key
   that occurs twice never multiplies rows;
 * rows without a key (NULL, or 0 where 0 means "not set") can never match.
-  They are spread over the shuffle by a hash of their own columns instead of
-  meeting in the one partition that NULL hashes to;
+  They are spread over the shuffle by a hash of the columns named for it, or
+  else of the task they come from, instead of meeting in the one partition that
+  NULL hashes to. No column is read for that alone;
 * both sides also carry that hash as a second join key. For rows with a key it
   is a function of the key, so it changes no match. It does make Spark place an
   exchange directly below the join on both sides, which is the shape in which
@@ -23,7 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType, MapType, NumericType, StructType
+from pyspark.sql.types import DataType, IntegralType, NumericType, StructType
 
 from tablemend.contract import ContractError
 from tablemend.functions.text import named, quoted
@@ -65,13 +66,16 @@ def _lookup(
     keys: DataFrame,
     key_columns: Sequence[str],
     how: str,
-    spread_by: Sequence[str],
+    spread_by: Sequence[str] | None,
     values: Sequence[str] | None = None,
     tag: str = "__key",
+    distinct: bool = True,
 ) -> DataFrame:
-    """Join to the distinct keys. ``values`` stand for ``columns`` where NULL is not the only "no key".
+    """Join to the keys. ``values`` stand for ``columns`` where NULL is not the only "no key".
 
-    Without ``spread_by`` every row is taken to have a key.
+    An empty ``spread_by`` says that every row has a key; None spreads rows
+    without one by the task they come from. Semi and anti joins may leave the
+    keys as they are (``distinct=False``) where copies are few.
     """
     names = [quoted(f"{tag}_{i}") for i in range(len(columns))]
     hashed = quoted(f"{tag}_hash")
@@ -79,23 +83,24 @@ def _lookup(
     key_types = [keys.schema[c].dataType for c in key_columns]
     mine = _cast_to_shared(values or [quoted(c) for c in columns], my_types, key_types)
     theirs = _cast_to_shared([quoted(c) for c in key_columns], key_types, my_types)
-    key_side = (
-        keys.where(all_present(key_columns))
-        .selectExpr(*[f"{value} AS {name}" for value, name in zip(theirs, names, strict=True)])
-        .distinct()
-        .selectExpr("*", f"xxhash64({', '.join(names)}) AS {hashed}")
+    key_side = keys.where(all_present(key_columns)).selectExpr(
+        *[f"{value} AS {name}" for value, name in zip(theirs, names, strict=True)]
     )
+    if distinct:
+        key_side = key_side.distinct()
+    key_side = key_side.selectExpr("*", f"xxhash64({', '.join(names)}) AS {hashed}")
     my_hash = f"xxhash64({', '.join(mine)})"
-    if spread_by:
+    task = f"{tag}_task"
+    if spread_by is None:
+        # The number of a task is the same when the task runs again.
+        df = df.withColumn(task, F.spark_partition_id())
+    if spread_by is None or spread_by:
         present = " AND ".join(f"{value} IS NOT NULL" for value in mine)
-        row_hash = f"xxhash64({', '.join(quoted(c) for c in spread_by)})"
+        row_hash = f"xxhash64({', '.join(quoted(c) for c in spread_by or [task])})"
         my_hash = f"CASE WHEN {present} THEN {my_hash} ELSE {row_hash} END"
     match = [f"{hashed} = {my_hash}"] + [f"{name} = {value}" for name, value in zip(names, mine, strict=True)]
-    return df.join(key_side, F.expr(" AND ".join(match)), how)
-
-
-def _row_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+    joined = df.join(key_side, F.expr(" AND ".join(match)), how)
+    return joined.drop(task) if spread_by is None else joined
 
 
 def with_key_in(df: DataFrame, columns: Sequence[str], keys: DataFrame, key_columns: Sequence[str]) -> DataFrame:
@@ -109,13 +114,15 @@ def with_key_not_in(
     keys: DataFrame,
     key_columns: Sequence[str],
     spread_by: Sequence[str] | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
     """Rows whose key does not occur among ``keys`` (NOT EXISTS); a NULL key never occurs.
 
     ``spread_by`` names the columns that spread rows without a key, by default
-    all of them; an empty list says that every row has a key.
+    the task they come from does; an empty list says that every row has a key.
+    ``distinct=False`` saves an exchange where the keys hardly repeat.
     """
-    return _lookup(df, columns, keys, key_columns, "left_anti", _row_columns(df) if spread_by is None else spread_by)
+    return _lookup(df, columns, keys, key_columns, "left_anti", spread_by, distinct=distinct)
 
 
 def mark(
@@ -136,7 +143,7 @@ def mark(
     tag = f"__{marker}"
     found = f"{quoted(tag + '_0')} IS NOT NULL"
     flag = f"({value} IS NOT NULL AND NOT {found})" if missing else found
-    joined = _lookup(df, [column], keys, [key_column], "left", spread_by or _row_columns(df), [value], tag)
+    joined = _lookup(df, [column], keys, [key_column], "left", spread_by or None, [value], tag)
     return joined.selectExpr("*", f"{flag} AS {quoted(marker)}").drop(f"{tag}_0", f"{tag}_hash")
 
 

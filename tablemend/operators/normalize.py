@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
+from pyspark.sql.types import DataType, IntegralType, StringType, StructField
 
 from tablemend.contract import Catalog, TableSpec
 from tablemend.functions.rules import apply_rule
@@ -20,6 +19,21 @@ def _ruled(df: DataFrame, field: StructField) -> Column:
     )
 
 
+# What a cast to a whole number accepts, with the blanks and control characters it trims.
+_WHOLE = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$"
+
+
+def _fitted(value: Column, arrives: DataType, wanted: DataType) -> Column:
+    """The value as the wanted type, or NULL. Texts that are plainly no number are not tried: a failed cast is dear."""
+    if isinstance(arrives, StringType) and isinstance(wanted, IntegralType):
+        value = F.when(value.rlike(_WHOLE), value)
+    return value.try_cast(wanted)
+
+
+def _ruled_type(df: DataFrame, field: StructField) -> DataType:
+    return df.select(_ruled(df, field)).schema[0].dataType
+
+
 def normalize(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Apply every column's rule, cast to the declared type and keep the declared order.
 
@@ -37,7 +51,10 @@ def normalize_lenient(df: DataFrame, spec: TableSpec) -> DataFrame:
     """As :func:`normalize`, with NULL in place of a value that does not fit its type."""
     spec.check(df.schema, types=False)
     return df.select(
-        [_ruled(df, f).try_cast(f.dataType).alias(f.name, metadata=f.metadata) for f in spec.schema]
+        [
+            _fitted(_ruled(df, f), _ruled_type(df, f), f.dataType).alias(f.name, metadata=f.metadata)
+            for f in spec.schema
+        ]
     )
 
 
@@ -47,10 +64,11 @@ def rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
     unfit = {}
     for field in spec.schema:
         value = _ruled(df, field)
-        unfit[field.name] = value.isNotNull() & value.try_cast(field.dataType).isNull()
+        unfit[field.name] = value.isNotNull() & _fitted(value, _ruled_type(df, field), field.dataType).isNull()
     at_fault = [F.when(flag, F.lit(name)) for name, flag in unfit.items()]
-    found = df.where(reduce(lambda a, b: a | b, unfit.values()))
-    return found.withColumn("_columns", F.concat_ws(",", *at_fault))
+    # A list of one, so that the condition reads the finished value and no rule or cast is made twice.
+    listed = df.select("*", F.explode(F.array(F.concat_ws(",", *at_fault))).alias("_columns"))
+    return listed.where("_columns <> ''")
 
 
 def normalize_all(catalog: Catalog, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -57,7 +57,12 @@ def clean(
     the output of every stage in ``keep`` (by default all), and the
     quarantine, are written and read back. Without ``tables`` a run starts from the store, from the latest
     output kept before its first stage. ``work_dir`` selects the two-pass
-    integrity check.
+    integrity check and writes every checked table once, so that clean rows and
+    quarantine are not worked out apart.
+
+    Tables are checked against the catalog before anything runs: for declared
+    columns, and for their types where the first stage is not the one that
+    makes them.
     """
     order = [s.name for s in STAGES]
     unknown = [s for s in stages if s not in order]
@@ -75,6 +80,8 @@ def clean(
     else:
         current = {n: tables[n] for n in catalog.subset(names if names is not None else tables)}
 
+    for name, df in current.items():
+        catalog[name].check(df.schema, types=active[0] not in ("EXTRACT", "NORMALIZE"))
     quarantine: dict[str, DataFrame] = {}
     for stage in active:
         if stage == "NORMALIZE":
@@ -82,7 +89,9 @@ def clean(
         elif stage == "DEDUP":
             current = deduplicate_all(catalog, current, dedup_rules or {})
         elif stage == "INTEGRITY":
-            current, quarantine = sweep(catalog, current, transitive, zero_as_null, work_dir)
+            current, quarantine = sweep(
+                catalog, current, transitive, zero_as_null, work_dir, write_once=work_dir is not None
+            )
             if store is not None:
                 quarantine = store.save_quarantine(quarantine)
         elif stage == "REDUCE":

@@ -237,7 +237,7 @@ def shop_catalog(single_language: bool = False, language_id: int | None = None)
 
 
 SHOP_DEDUP_RULES = {
-    "oc_review": DedupRule(("text",), comment="reviews that repeat another review's text"),
+    "oc_review": DedupRule(("text",)),
 }
 
 SHOP_REDUCE_RULES = {

@@ -21,11 +21,14 @@ from tablemend.operators import (
     fill_defaults,
     join_all,
     left_join,
+    mark_key,
+    normalize_lenient,
     orphan_counts,
     profile,
     project_all,
     project_to_target,
     reduce_to_deepest,
+    rejects,
     repeated_keys,
     rows_with_keys,
     sweep,
@@ -96,8 +99,15 @@ def test_deduplicate_groups_shrink_before_the_shuffle(spark):
         with contextlib.redirect_stdout(io.StringIO()) as out:
             deduplicate(df, ["g"], keep, ["id"]).explain()
         plans[keep] = out.getvalue()
-    assert "row_number(), 1, Partial" in plans["first"]
-    assert "partial_" in plans["any"] and "partial_count" in plans["none"]
+    assert "row_number(), 1, Partial" in plans["first"] and "row_number(), 1, Partial" in plans["any"]
+    assert "partial_count" in plans["none"] and not any("SortAggregate" in p for p in plans.values())
+
+
+def test_deduplicate_any_keeps_whole_rows(spark):
+    rows = [(i, i % 4 if i % 5 else None, f"p{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, g int, p string").repartition(5)
+    kept = [tuple(r) for r in deduplicate(df, ["g"], "any").collect()]
+    assert set(kept) <= set(rows) and sorted(map(repr, (r[1] for r in kept))) == ["0", "1", "2", "3", "None"]
 
 
 def test_deduplicate_all_uses_the_key_as_order(spark):
@@ -148,7 +158,7 @@ def test_enforce_by_brute_force(spark, tmp_path_factory, policies, two_pass, row
         row, dropped = [i, p, s], False
         for position, policy, known, name in ((1, policies[0], parts, "p"), (2, policies[1], shops, "s")):
             value = (i, p, s)[position]
-            if dropped or not value or value in known:
+            if not value or value in known:
                 continue
             quarantine.append((i, p, s, "line", name, {"p": "part", "s": "shop"}[name], policy))
             if policy == CASCADE:
@@ -217,6 +227,62 @@ def test_sweep_uses_the_tables_as_given_unless_transitive(spark):
     assert _tuples(orphan_counts(quarantine)) == [("b", "a", 1), ("c", "b", 2)]
 
 
+def test_every_broken_key_is_reported_whatever_the_order(spark):
+    rows = spark.createDataFrame([(1, 9, 9), (2, 1, 9), (3, 9, 1), (4, 1, 1), (5, None, 0)], "id int, p int, s int")
+    known = {n: Target(spark.createDataFrame([(1,)], "k int"), "k") for n in ("part", "shop")}
+    spec = _spec(CASCADE, SET_NULL)
+    swapped = table("line", [spec.schema[0], spec.schema[2], spec.schema[1]], "line")
+    found = [_tuples(enforce(rows, s, known).quarantine) for s in (spec, swapped)]
+    assert found[0] == found[1] and [(r[0], r[4]) for r in found[0]] == [(1, "p"), (1, "s"), (2, "s"), (3, "p")]
+
+
+def test_odd_names_and_types_take_part(spark):
+    spec = table("o'brien", [column("it's", INT, references="u'v", on_delete=CASCADE)], "t")
+    df = spark.createDataFrame([(1, {"m": 1}, ({"m": 2},)), (None, None, None)], "`it's` int, m map<string,int>, s struct<m:map<string,int>>")
+    known = Target(spark.createDataFrame([(2,)], "k int"), "k")
+    checked = enforce(df, spec, {"u'v": known})
+    assert [tuple(r)[3:] for r in checked.quarantine.collect()] == [("o'brien", "it's", "u'v", CASCADE)]
+    assert checked.clean.count() == 1
+    assert mark_key(df, "it's", known.rows, "k", "found").where("found").count() == 0
+
+
+def test_counts_read_only_the_keys(spark, tmp_path):
+    from checks.queries import fk_orphan_counts
+
+    plan = fk_orphan_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_partkey:bigint>" in plan and "ReadSchema: struct<l_suppkey:bigint>" in plan
+    assert "l_orderkey" not in plan
+
+
+def test_a_table_that_refers_to_itself_is_swept_to_the_end(spark, tmp_path):
+    catalog = Catalog([table("t", [column("id", INT, key=True), column("up", INT, references="t", on_delete=CASCADE)], "t")])
+    rows = {"t": spark.createDataFrame([(1, 99), (2, 1), (3, 2), (4, None), (5, 4)], "id int, up int")}
+    with pytest.raises(ContractError, match="work_dir"):
+        sweep(catalog, rows, transitive=True)
+    clean, quarantine = sweep(catalog, rows, transitive=True, work_dir=str(tmp_path))
+    assert _tuples(clean["t"]) == [(4, None), (5, 4)]
+    assert _tuples(quarantine["t"].select("id")) == [(1,), (2,), (3,)]
+
+
+def test_two_sweeps_share_a_folder(spark, tmp_path):
+    tables = {"b": spark.createDataFrame([(1, 1), (2, 9)], "id int, a int"), "a": spark.createDataFrame([(1,)], "id int")}
+    first, _ = sweep(CHAIN, tables, work_dir=str(tmp_path))
+    second, _ = sweep(CHAIN, {**tables, "a": spark.createDataFrame([(9,)], "id int")}, work_dir=str(tmp_path))
+    assert _tuples(first["b"]) == [(1, 1)] and _tuples(second["b"]) == [(2, 9)]
+
+
+def test_guarded_casts_equal_plain_ones(spark):
+    texts = ["1", " 2 ", "+3", "-4", "", " ", "x", "1.5", "1e3", "99999999999", "2147483648", "\t7\n", "\x01" + "8", "9\x7f", "٣",
+             "--1", "1L", "0x1", "\u00a05", None, "007", "+", "1 2"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for kind in ("tinyint", "int", "bigint"):
+        spec = table("t", [column("v", df.selectExpr(f"CAST(1 AS {kind}) AS v").schema[0].dataType)], "t")
+        got = [r[0] for r in normalize_lenient(df, spec).collect()]
+        assert got == [r[0] for r in df.selectExpr(f"try_cast(v AS {kind})").collect()]
+        bad = [r["v"] for r in rejects(df, spec).collect()]
+        assert bad == [t for t, g in zip(texts, got) if t is not None and g is None]
+
+
 def test_sweep_skips_keys_without_their_target(spark):
     tables = {"c": spark.createDataFrame([(1, 1)], "id int, b int")}
     clean, quarantine = sweep(CHAIN, tables)
