@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablemend.plans import shared_folder
+
 #: Row numbers that are sent to all executors at most (16 MB); more are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 #: Rows in an Arrow batch. Batches of long texts stay small enough for a worker.
@@ -49,11 +51,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path below the folder that driver and executors share (``spark.checkpoint.dir``)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{folder.rstrip('/')}/llm-{uuid4().hex}"
+    """A new path below the folder that driver and executors share."""
+    return f"{shared_folder(spark)}/llm-{uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:

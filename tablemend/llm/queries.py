@@ -20,7 +20,7 @@ from tablemend.llm import (
     substring_dedup,
     topk,
 )
-from tablemend.llm.common import read
+from tablemend.llm.common import read, stored
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +32,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages by host, their lines being the block elements of the HTML."""
-    pages = read(spark, sf_dir, "pages").select(
-        "page_id",
-        line_dedup.host_of(F.col("url")).alias("host"),
-        line_dedup.lines_of_html(F.col("html")).alias("text"),
+    """Pages by host, their lines being the block elements of the HTML, which are worked out once and written."""
+    pages = stored(
+        read(spark, sf_dir, "pages").select(
+            "page_id",
+            line_dedup.host_of(F.col("url")).alias("host"),
+            line_dedup.lines_of_html(F.col("html")).alias("text"),
+        )
     )
     return line_dedup.drop_boilerplate(pages, F.col("host"), "page_id", ratio=0.1, min_pages=5)
 
