@@ -341,6 +341,7 @@ def _labelled(sketches: DataFrame, classes: DataFrame, groups: DataFrame) -> Dat
     named = named.join(smallest, "component").select(
         "n", "f1", "f2", F.col("least.least_key").alias("group_key"), F.col("least.least_row").alias("group_row")
     )
+    # Written, so that the last join has plain exchanges on both sides: a class with a third of the rows can be split.
     of_class = classes.join(named, ["n", "f1", "f2"], "left").select(
         "n",
         "f1",
@@ -348,7 +349,7 @@ def _labelled(sketches: DataFrame, classes: DataFrame, groups: DataFrame) -> Dat
         F.when(F.col("group_row").isNull(), F.col("least_key")).otherwise(F.col("group_key")).alias("group_key"),
         F.coalesce("group_row", "least_row").alias("group_row"),
     )
-    joined = sketches.join(of_class, ["n", "f1", "f2"], "left")
+    joined = sketches.join(stored(of_class), ["n", "f1", "f2"], "left")
     return joined.select(
         "row",
         "key",
