@@ -19,6 +19,9 @@ from tablemend.operators.project import project_to_target
 # Fixed value: rows fetched or inserted per round trip.
 BATCH_ROWS = 5000
 
+# The column that numbers rows in a staging table.
+ROW_NUMBER = "_row"
+
 # Settings for a MySQL source: read through a cursor instead of into memory,
 # full Unicode, zero dates as NULL (the driver meets them before any rule
 # does), and TINYINT(1) as a number, so that int_to_bool sees what was stored.
@@ -95,9 +98,13 @@ def write_options(
 
 
 def publish_statements(staging: str, table: str, columns: list[str], quote: str = '"') -> list[str]:
-    """SQL that moves a filled staging table into its target in one statement, and drops it."""
+    """SQL that moves a filled staging table into its target in one statement, and drops it.
+
+    A row that a repeated task has written twice has the same row number twice, and is inserted once.
+    """
     names = ", ".join(quote + c.replace(quote, quote * 2) + quote for c in columns)
-    return [f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}", f"DROP TABLE {staging}"]
+    once = f"SELECT DISTINCT {quote}{ROW_NUMBER}{quote}, {names} FROM {staging}"
+    return [f"INSERT INTO {table} ({names}) SELECT {names} FROM ({once}) AS staged", f"DROP TABLE {staging}"]
 
 
 def append_table(
@@ -120,16 +127,18 @@ def append_table(
     transaction, the rows go to ``<table>_staging`` first (replaced, so a rerun
     starts over) and reach the target in a single ``INSERT ... SELECT``: all of
     the table or none of it. Spark's writer can still repeat a task's rows in
-    the staging table when an executor is lost in the middle of a task; the
-    target's key constraint then rejects the insert as a whole.
+    the staging table when an executor is lost in the middle of a task. The rows
+    are numbered before they are dealt out, and the insert takes each number once,
+    whether or not the target has a key.
     """
-    dealt = df.repartition(connections)
     if run_sql is None:
+        dealt = df.repartition(connections)
         dealt.write.format("jdbc").mode("append").options(
             **write_options(options, table, connections, batch_rows)
         ).save()
         return
     staging = f"{table}_staging"
+    dealt = df.withColumn(ROW_NUMBER, F.monotonically_increasing_id()).repartition(connections, ROW_NUMBER)
     dealt.write.format("jdbc").mode("overwrite").options(
         **write_options(options, staging, connections, batch_rows)
     ).save()
