@@ -7,7 +7,8 @@ a task has for a bucket go as one compressed row. In the bucket all windows are
 are compared byte by byte, and every one whose document is not the smallest of its kind is reported back as a range of
 words.
 
-The number of buckets grows with the text, so each holds about ``BUCKET_BYTES`` of it.
+The number of buckets grows with the text, so each holds about ``BUCKET_BYTES`` of it. A bucket that gets far more, as a
+passage or a whole document that very many share makes it, is split: its parts first pass on their distinct strings alone.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ BUCKET_BYTES = 4_000_000
 MIN_BUCKETS = 256
 #: Windows that are compared byte by byte at a time.
 COMPARED = 50_000
+#: Super-k-mers of a bucket that is still taken whole; an even share is about 140,000. And buckets that are split at most.
+LARGE = 300_000
+MAX_SPLIT = 65_536
+RANGES = "row long, low int, high int"
 #: The place of a document without a key: after all others.
 LAST = (1 << 63) - 1
 
@@ -93,41 +98,30 @@ def _dealt(rows: np.ndarray, order: np.ndarray, texts: list[str], buckets: int,
     return out
 
 
-def repeated_ranges(
-    rows: np.ndarray, order: np.ndarray, start: np.ndarray, strings: list[bytes], window: int = WINDOW
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, first and last word (exclusive) of every run of windows that stand in a document of smaller order, too."""
+def least_orders(order: np.ndarray, strings: list[bytes], window: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the strings; the first word and the string of every window; the smallest order that any equal window has."""
     words = words_of(strings)
-    string_of = words.text_of()
-    at = np.flatnonzero(windows_within(string_of, window))
-    owner = order[string_of[at]]
+    text_of = words.text_of()
+    at = np.flatnonzero(windows_within(text_of, window))
+    string = text_of[at]
+    owner = order[string]
     key = grams(words.hashes, window)[at] if len(at) else np.zeros(0, dtype=np.uint64)
     by_key = np.lexsort((owner, key))
     head = np.ones(len(at), dtype=bool)
     head[1:] = key[by_key][1:] != key[by_key][:-1]
     group = np.cumsum(head) - 1
     heads = by_key[head][group]
-    later = owner[by_key] > owner[heads]
-    again = np.zeros(len(at), dtype=bool)
-    again[by_key[later]] = True
-    _undo_collisions(words, at, by_key, heads, group, later, owner, again, window)
+    least = np.empty(len(at), dtype=np.int64)
+    least[by_key] = owner[heads]
+    _undo_collisions(words, at, by_key, heads, group, owner, least, window)
+    return words, at, string, least
 
-    hit = np.flatnonzero(again)
-    word = at[hit]
-    new = np.ones(len(hit), dtype=bool)
-    new[1:] = (word[1:] != word[:-1] + 1) | (string_of[word[1:]] != string_of[word[:-1]])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(hit)) - 1 if len(hit) else first
-    string = string_of[word[first]]
-    shift = start[string] - words.first[string]
-    return rows[string], word[first] + shift, word[last] + shift + window
 
-
-def _undo_collisions(words, at, by_key, heads, group, later, owner, again, window) -> None:
+def _undo_collisions(words, at, by_key, heads, group, owner, least, window) -> None:
     """Compare the bytes of equal hashes. Where they differ after all, the group is judged by its bytes."""
     data = words.data
     unlike = set()
-    places = np.flatnonzero(later)
+    places = np.flatnonzero(owner[by_key] > owner[heads])
     for part in range(0, len(places), COMPARED):
         chosen = places[part : part + COMPARED]
         mine, theirs = at[by_key[chosen]], at[heads[chosen]]
@@ -140,12 +134,50 @@ def _undo_collisions(words, at, by_key, heads, group, later, owner, again, windo
         b = data[np.repeat(words.starts[theirs], size) + inside]
         unlike.update(group[np.repeat(chosen, size)[a != b]].tolist())
     for g in unlike:
-        members, least = by_key[group == g], {}
+        members, smallest = by_key[group == g], {}
         texts = [data[words.starts[at[i]] : words.ends[at[i] + window - 1]].tobytes() for i in members]
         for i, value in zip(members, texts):
-            least[value] = min(least.get(value, owner[i]), owner[i])
+            smallest[value] = min(smallest.get(value, owner[i]), owner[i])
         for i, value in zip(members, texts):
-            again[i] = owner[i] > least[value]
+            least[i] = smallest[value]
+
+
+def _runs(again: np.ndarray, place: np.ndarray, string: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """String, first and last word (exclusive) of every run of marked windows, given the place of each in its text."""
+    hit = np.flatnonzero(again)
+    word, of = place[hit], string[hit]
+    new = np.ones(len(hit), dtype=bool)
+    new[1:] = (word[1:] != word[:-1] + 1) | (of[1:] != of[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(hit)) - 1 if len(hit) else first
+    return of[first], word[first], word[last] + window
+
+
+def repeated_ranges(
+    rows: np.ndarray, order: np.ndarray, start: np.ndarray, strings: list[bytes], window: int = WINDOW
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last word (exclusive) of every run of windows that stand in a document of smaller order, too."""
+    words, at, string, least = least_orders(order, strings, window)
+    place = at - words.first[string] + start[string]
+    of, low, high = _runs(order[string] > least, place, string, window)
+    return rows[of], low, high
+
+
+def _load(rows: np.ndarray, order: np.ndarray, start: np.ndarray, strings: bytes) -> bytes:
+    return rows.tobytes() + (order - rows).tobytes() + start.astype(np.int32).tobytes() + strings
+
+
+def _unload(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    codec = pa.Codec("zstd")
+    rows, order, start, strings = [], [], [], []
+    for size, n, load in zip(*(table.column(c).to_pylist() for c in ("size", "n", "load"))):
+        raw = codec.decompress(load, size, asbytes=True)
+        r = np.frombuffer(raw, np.int64, n)
+        rows.append(r)
+        order.append(r + np.frombuffer(raw, np.int64, n, 8 * n))
+        start.append(np.frombuffer(raw, np.int32, n, 16 * n))
+        strings += raw[20 * n :].split(b"\n")
+    return np.concatenate(rows), np.concatenate(order), np.concatenate(start), strings
 
 
 def _send(frame: DataFrame, buckets: int, window: int) -> DataFrame:
@@ -156,40 +188,93 @@ def _send(frame: DataFrame, buckets: int, window: int) -> DataFrame:
         columns: dict[str, list] = {"bucket": [], "size": [], "n": [], "load": []}
         rows, order, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
         for a, b in runs(texts):
-            for bucket, (r, o, s, strings) in _dealt(rows[a:b], order[a:b], texts[a:b], buckets, window).items():
-                load = r.tobytes() + (o - r).tobytes() + s.tobytes() + strings
+            for bucket, sent in _dealt(rows[a:b], order[a:b], texts[a:b], buckets, window).items():
+                load = _load(*sent)
                 columns["bucket"].append(bucket)
                 columns["size"].append(len(load))
-                columns["n"].append(len(r))
+                columns["n"].append(len(sent[0]))
                 columns["load"].append(codec.compress(load, asbytes=True))
         return columns
 
     return in_batches(frame, run, "bucket long, size long, n long, load binary")
 
 
-def _solve(window: int):
+def _ranges(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Table:
+    return pa.table({"row": pa.array(row, pa.int64()), "low": pa.array(low, pa.int32()), "high": pa.array(high, pa.int32())})
+
+
+def _solved(sent: DataFrame, window: int) -> DataFrame:
+    """The repeated ranges of buckets that are taken whole."""
+
     def solve(table: pa.Table) -> pa.Table:
-        codec = pa.Codec("zstd")
-        rows, order, start, strings = [], [], [], []
-        for size, n, load in zip(*(table.column(c).to_pylist() for c in ("size", "n", "load"))):
-            raw = codec.decompress(load, size, asbytes=True)
-            r = np.frombuffer(raw, np.int64, n)
-            rows.append(r)
-            order.append(r + np.frombuffer(raw, np.int64, n, 8 * n))
-            start.append(np.frombuffer(raw, np.int32, n, 16 * n))
-            strings += raw[20 * n :].split(b"\n")
-        found = repeated_ranges(np.concatenate(rows), np.concatenate(order), np.concatenate(start), strings, window)
-        row, first, last = (np.asarray(f) for f in found)
-        return pa.table({"row": pa.array(row, pa.int64()), "low": pa.array(first, pa.int32()), "high": pa.array(last, pa.int32())})
-
-    return solve
+        return _ranges(*repeated_ranges(*_unload(table), window))
+
+    return sent.groupBy("bucket").applyInArrow(solve, RANGES)
+
+
+def _solved_in_parts(sent: DataFrame, parts: DataFrame, window: int) -> DataFrame:
+    """The same for buckets that are split: ``parts`` has their number of parts.
+
+    Every part passes on its distinct strings with the smallest order of each; from these the bucket works out
+    the smallest order of every window; and the parts compare their documents with that.
+    """
+    split = sent.join(F.broadcast(parts), "bucket").withColumn("part", F.pmod(F.xxhash64("load"), "parts").cast("int"))
+    split = split.select("bucket", "part", "size", "n", "load")
+
+    def distinct(key: tuple, table: pa.Table) -> pa.Table:
+        _, order, _, strings = _unload(table)
+        smallest: dict[bytes, int] = {}
+        for o, value in zip(order.tolist(), strings):
+            smallest[value] = min(smallest.get(value, o), o)
+        bucket = pa.array([key[0].as_py()] * len(smallest), pa.int64())
+        return pa.table({"bucket": bucket, "string": pa.array(list(smallest), pa.binary()), "least": pa.array(list(smallest.values()), pa.int64())})
+
+    def owners(key: tuple, table: pa.Table) -> pa.Table:
+        strings = table.column("string").to_pylist()
+        words, _, string, least = least_orders(table.column("least").to_numpy(), strings, window)
+        cuts = np.searchsorted(string, np.arange(len(strings) + 1))
+        found = {value: least[cuts[i] : cuts[i + 1]].tobytes() for i, value in enumerate(strings)}
+        bucket = pa.array([key[0].as_py()] * len(found), pa.int64())
+        return pa.table({"bucket": bucket, "string": pa.array(list(found), pa.binary()), "owners": pa.array(list(found.values()), pa.binary())})
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _ranges(*(np.zeros(0, np.int64),) * 3)
+        rows, order, start, strings = _unload(left)
+        known = dict(zip(right.column("string").to_pylist(), right.column("owners").to_pylist()))
+        least = [np.frombuffer(known[value], np.int64) for value in strings]
+        string = np.repeat(np.arange(len(strings)), [len(x) for x in least])
+        inside = np.concatenate([np.arange(len(x)) for x in least])
+        of, low, high = _runs(order[string] > np.concatenate(least), inside + start[string], string, window)
+        return _ranges(rows[of], low, high)
+
+    strings = split.groupBy("bucket", "part").applyInArrow(distinct, "bucket long, string binary, least long")
+    smallest = strings.groupBy("bucket", "string").agg(F.min("least").alias("least"))
+    owned = smallest.groupBy("bucket").applyInArrow(owners, "bucket long, string binary, owners binary")
+    sent_back = owned.join(F.broadcast(parts), "bucket").select(
+        F.col("bucket").alias("to_bucket"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("to_part"), "string", "owners"
+    )
+    both = split.groupBy("bucket", "part").cogroup(sent_back.groupBy("to_bucket", "to_part"))
+    return both.applyInArrow(compare, RANGES)
 
 
 def repeated_words(frame: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(row, low, high)``: ranges of words that repeat, for a frame of ``(row, place, text)`` with unique rows."""
+    """``(row, low, high)``: ranges of words that repeat, for a frame of ``(row, place, text)`` with unique rows.
+
+    A bucket with far more super-k-mers than others (a passage, or a document, that very many share) is split into parts.
+    Which are split is found by counting all; at most ``MAX_SPLIT`` are, the largest first.
+    """
     size = frame.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(MIN_BUCKETS, -(-size // BUCKET_BYTES))
-    return _send(frame, buckets, window).groupBy("bucket").applyInArrow(_solve(window), "row long, low int, high int")
+    sent = _send(frame, buckets, window)
+    counts = sent.groupBy("bucket").agg(F.sum("n").alias("n"))
+    large = counts.where(F.col("n") > LARGE).orderBy(F.desc("n"), "bucket").limit(MAX_SPLIT)
+    split = [(r["bucket"], -(-r["n"] // LARGE)) for r in large.collect()]
+    if not split:
+        return _solved(sent, window)
+    parts = frame.sparkSession.createDataFrame(split, "bucket long, parts int")
+    whole = sent.join(F.broadcast(parts), "bucket", "left_anti")
+    return _solved(whole, window).unionAll(_solved_in_parts(sent, parts, window))
 
 
 def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:

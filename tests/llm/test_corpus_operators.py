@@ -222,8 +222,10 @@ def repeats_by_hand(rows, window):
     return out
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_repeated_passages(spark, seed):
+@pytest.mark.parametrize("seed,large", [(0, 300_000), (1, 300_000), (2, 5), (3, 5), (4, 1)])
+def test_repeated_passages(spark, monkeypatch, seed, large):
+    monkeypatch.setattr(substring_dedup, "LARGE", large)
+    monkeypatch.setattr(substring_dedup, "MIN_BUCKETS", 7)
     rng = random.Random(seed)
     words = ["a", "b", "c", "dé", "e"] if seed % 2 else [f"w{i}" for i in range(30)]
     rows = []
