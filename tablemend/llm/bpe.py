@@ -25,7 +25,7 @@ ship(__name__)
 
 LONG_PIECE = 96
 #: Words whose ids a task remembers. The memory is emptied when it is full.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 NO_RANK = 1 << 30
 #: The public pattern that cuts text into words before any merge, with white space as Unicode defines it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

@@ -15,8 +15,10 @@ from tablemend.llm.common import ship
 
 ship(__name__)
 
-#: Bytes of text that are worked on at a time. The arrays take about 40 bytes for each. A longer text is taken alone.
+#: Bytes of text that are worked on at a time; a longer text is taken alone. And bytes that are hashed at a time, with
+#: arrays of about 40 bytes for each; a longer word is taken alone.
 RUN_BYTES = 2_000_000
+HASH_BYTES = 500_000
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -33,10 +35,10 @@ def powers(base: int, n: int) -> np.ndarray:
     """The first ``n`` powers of ``base`` modulo 2^64."""
     known = _POWERS.get(base)
     if known is None or len(known) < n:
-        row = np.full(max(n, RUN_BYTES + 4096), base, dtype=np.uint64)
+        row = np.full(max(n, HASH_BYTES + 4096), base, dtype=np.uint64)
         row[0] = 1
         known = np.cumprod(row, dtype=np.uint64)
-        if len(known) <= 4 * RUN_BYTES:
+        if len(known) <= 4 * HASH_BYTES:
             _POWERS[base] = known
     return known[:n]
 
@@ -80,10 +82,17 @@ def words_of(texts: Sequence[str | bytes], separators: np.ndarray = WHITE, small
     starts, ends = edge[0::2], edge[1::2]
     text_starts = np.cumsum([0] + [len(r) + 1 for r in raw])
     first = np.searchsorted(starts, text_starts)
-    n = len(data)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * powers(INVERSE, n + 1)[starts]
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        low = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, low + HASH_BYTES, side="right")))
+        n = int(ends[j - 1] - low)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum((data[low : low + n].astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=sums[1:])
+        begin = starts[i:j] - low
+        hashes[i:j] = (sums[ends[i:j] - low] - sums[begin]) * powers(INVERSE, n + 1)[begin]
+        i = j
     return Words(data, starts, ends, first, mixed(hashes))
 
 
