@@ -108,7 +108,7 @@ def top_k(
     n_groups = min(len(pivots), max(1, total["asks"] // QUERY_CHUNK))
     queries = stored(_bounds(placed.where("asks"), pivots, cells, heads, n_groups, k, width, id_type))
     pairs = spark.createDataFrame(
-        _pairs(queries, pivots, cells, block_rows), "cell int, g int, chunk int, chunks int, blocks int"
+        _pairs(queries, pivots, cells, block_rows), "cell int, g int, chunks int, blocks int"
     )
     return _solve(placed, queries, F.broadcast(pairs), k, width, id_type).select(
         "query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(key), "score"
@@ -189,17 +189,15 @@ def _bounds(asking, pivots, cells, heads, n_groups, k, width, id_type) -> DataFr
 
 
 def _pairs(queries: DataFrame, pivots: np.ndarray, cells: dict, block_rows: int) -> list[tuple]:
-    """``(cell, group, chunk, chunks, blocks)`` for every cell that a group's bound lets in."""
+    """``(cell, group, chunks, blocks)`` for every cell that a group's bound lets in: at most ``MAX_PIVOTS`` squared rows."""
     out = []
     norms = np.sqrt((pivots * pivots).sum(1))
     sums = queries.groupBy("g").agg(F.count("*"), F.max("away"), F.max("norm"), F.min("floor")).collect()
     for g, n, away, norm, floor in sums:
         reach = np.minimum(pivots @ pivots[g] + away * norms + norm * cells["radius"], norm * cells["norm"])
         spare = SLACK * (1 + norm * (norms + cells["radius"] + cells["norm"]))
-        chunks = -(-n // QUERY_CHUNK)
         for j in np.flatnonzero((reach + spare >= floor) & (cells["rows"] > 0)):
-            blocks = int(-(-cells["rows"][j] // block_rows))
-            out += [(int(j), g, c, chunks, blocks) for c in range(chunks)]
+            out.append((int(j), g, -(-n // QUERY_CHUNK), int(-(-cells["rows"][j] // block_rows))))
     return out
 
 
@@ -207,13 +205,14 @@ def _solve(placed, queries, pairs, k, width, id_type) -> DataFrame:
     at = ["g", "chunk", "cell", "block"]
     rows = (
         placed.join(pairs, "cell")
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select(*_keys(F.pmod(F.xxhash64("id", "v"), "blocks")), "id", "v")
         .toDF(*(f"to_{name}" for name in at), "id", "v")
     )
     asked = (
         queries.select("id", "v", "g", F.explode("cells").alias("cell"))
         .join(pairs, ["g", "cell"])
-        .where(F.pmod(F.xxhash64("id"), "chunks") == F.col("chunk"))
+        .withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(*_keys(F.col("block")), "id", "v")
     )

@@ -103,7 +103,9 @@ def test_lines_of_html(spark):
 # --- nearest vectors ----------------------------------------------------------
 
 
-def test_topk(spark):
+@pytest.mark.parametrize("chunk", [topk.QUERY_CHUNK, 7])
+def test_topk(spark, monkeypatch, chunk):
+    monkeypatch.setattr(topk, "QUERY_CHUNK", chunk)
     rng = np.random.default_rng(5)
     vectors = [(i, [float(np.float32(x)) for x in rng.normal(size=6)]) for i in range(700)]
     vectors += [(1000 + i, [0.5] * 6) for i in range(300)]
