@@ -92,6 +92,16 @@ def test_lines(spark):
     assert any(w[4] for w in want) and line_dedup.drop_boilerplate(df.limit(0), F.col("host"), "id").count() == 0
 
 
+def test_rotating_lines_of_a_large_source(spark):
+    docs = [(i, f"own {i}\nfooter {i % 60}\nadvert {i % 45}", "large", 0) for i in range(1800)]
+    docs += [(5000 + i, f"own {i}\n{'four times' if i < 4 else 'five times' if i < 9 else 'x'}", "small", 0) for i in range(9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.drop_boilerplate_lines(spark, df, "").collect()}
+    assert all(got[i].text == f"own {i}" for i in range(1800))
+    assert [got[5000 + i].text for i in (0, 8)] == ["own 0\nfour times", "own 8"]
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+
 def test_lines_of_html(spark):
     html = "<p>one<br>two <b>three</b></p><script>x<p>y</script><!-- no --><div class='a'>four</div>"
     df = spark.createDataFrame([(html, "HTTP://u:p@Ex.org:80/a"), (None, None)], "html string, url string")
