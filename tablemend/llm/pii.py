@@ -3,11 +3,13 @@
 Four base patterns with checks (e-mail addresses, IP addresses, card and phone numbers) always count. Three generators
 propose further spans, which may overlap the base ones: anything around an at sign, numbers in groups, and dotted
 numbers. A candidate that holds a valid base match is a positive example, any other a negative one; trees are boosted
-on the form of the candidate and the words and letters beside it, never on the checks themselves. On a held-out third
-of the sample every generator gets the lowest threshold that keeps ``PRECISION``; candidates above it are added.
+on the form of the candidate and the words and letters beside it, never on the checks themselves. On a third of all
+candidates, which the trees never see, every generator gets the lowest threshold that keeps ``PRECISION``; candidates
+above it are added.
 
 Only DataFrame functions touch the data. Texts are cut by the patterns, so the place of a match is the running sum of
-the lengths before it. The trees are fitted in the driver on at most ``SAMPLE`` candidates and scored as SQL.
+the lengths before it. The trees are fitted in the driver on at most ``SAMPLE`` candidates of each generator, all if
+there are fewer, and scored as SQL; the thresholds come from counts by generator and score.
 """
 
 from __future__ import annotations
@@ -26,7 +28,10 @@ ADDED_KINDS = ("mail_like", "number_like", "dotted_like")
 KINDS = BASE_KINDS + ADDED_KINDS
 SAMPLE = 20_000
 PRECISION = 0.9
-LEAST_ABOVE = 20
+#: The precision of all generators together counts as so many rows of each. Many rows of its own outweigh them.
+PRIOR_ROWS = 10
+#: Scores are counted in steps of a 64th.
+STEPS = 64
 BEFORE, AFTER = 24, 8
 
 #: The patterns, with possessive repeats where nothing can be given back: a long run costs one pass and no stack.
@@ -156,23 +161,46 @@ def _placed(matches: DataFrame) -> DataFrame:
     return matches.withColumn("stop", stop).withColumn("start", F.col("stop") - F.length("hit"))
 
 
-def train(candidates: DataFrame, sample: int = SAMPLE) -> tuple[boosting.Trees | None, dict[str, float]]:
-    """Trees and a threshold for each generator, from at most ``sample`` candidates ``(row, i, kind, proven, features)``."""
-    picked = bounded_sample(candidates.withColumn("place", F.xxhash64("row", "kind", "i")), "place", sample).collect()
-    rows = sorted(picked, key=lambda r: r["place"])
+def _step(trees: boosting.Trees) -> Column:
+    return F.floor(trees.column([F.col(name) for name in FEATURES]) * STEPS).cast("long")
+
+
+def thresholds(counts: list[tuple[str, int, int, int]]) -> dict[str, int]:
+    """The lowest step for each generator at which its precision is kept, from ``(kind, step, rows, proven rows)``.
+
+    Precision is that of its rows at or above the step, and of ``PRIOR_ROWS`` more that are as good as the rows of all
+    generators there. A generator of few rows, or none, so follows the others, one of many its own. It has no threshold,
+    and adds nothing, only if the precision is kept at no step.
+    """
+    steps = np.array(sorted({c[1] for c in counts}, reverse=True), dtype=np.int64)
+    rows, right = (np.zeros((len(ADDED_KINDS), len(steps))) for _ in range(2))
+    for kind, step, n, proven in counts:
+        at = ADDED_KINDS.index(kind), len(steps) - 1 - np.searchsorted(steps[::-1], step)
+        rows[at] += n
+        right[at] += proven
+    rows, right = rows.cumsum(1), right.cumsum(1)
+    shared = right.sum(0) / np.maximum(1, rows.sum(0))
+    kept = right + PRIOR_ROWS * shared >= PRECISION * (rows + PRIOR_ROWS) - 1e-9
+    return {k: int(steps[kept[i]][-1]) for i, k in enumerate(ADDED_KINDS) if kept[i].any()}
+
+
+def train(candidates: DataFrame, sample: int = SAMPLE) -> tuple[boosting.Trees | None, dict[str, int]]:
+    """Trees and a threshold for each generator, in steps of the score, from ``(row, i, kind, proven, features)``.
+
+    A third of the candidates by hash is held out, and all of it counts for the thresholds. The trees learn from at most
+    ``sample`` of the others of each generator. Without both sorts among them there is nothing to learn.
+    """
+    placed = candidates.withColumn("place", F.xxhash64("row", "kind", "i"))
+    held = F.pmod("place", F.lit(3)) == 0
+    of_kind = [bounded_sample(placed.where(~held & (F.col("kind") == k)), "place", sample) for k in ADDED_KINDS]
+    rows = sorted(reduce(DataFrame.unionAll, of_kind).collect(), key=lambda r: r["place"])
     x = np.array([[r[name] for name in FEATURES] for r in rows]).reshape(len(rows), len(FEATURES))
-    y = np.array([r["proven"] for r in rows], dtype=bool)
-    kind = np.array([r["kind"] for r in rows], dtype=object)
-    held = np.arange(len(rows)) % 3 == 0
-    trees = boosting.fit(x[~held], y[~held])
+    trees = boosting.fit(x, np.array([r["proven"] for r in rows], dtype=bool))
     if trees is None:
         return None, {}
-    score = trees.score(x)
-    limits = {}
-    for k in ADDED_KINDS:
-        own = held & (kind == k)
-        limits[k] = boosting.threshold_for(score[own], y[own], PRECISION, LEAST_ABOVE)
-    return trees, limits
+    counted = placed.where(held).groupBy("kind", _step(trees).alias("step"))
+    counts = counted.agg(F.count("*").alias("n"), F.sum(F.col("proven").cast("long")).alias("right")).collect()
+    return trees, thresholds([(r["kind"], r["step"], r["n"], r["right"]) for r in counts])
 
 
 def find(documents: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
@@ -193,11 +221,9 @@ def find(documents: DataFrame, key: str = "doc_id", text: str = "text", sample:
         )
     )
     trees, limits = train(candidates, sample)
-    limits = {k: v for k, v in limits.items() if v < float("inf")}
     if trees is not None and limits:
-        score = trees.column([F.col(name) for name in FEATURES])
         limit = reduce(lambda c, k: c.when(F.col("kind") == k, limits[k]), limits, F)
-        added = candidates.where(~F.col("proven")).where(score >= limit)
+        added = candidates.where(~F.col("proven")).where(_step(trees) >= limit)
         base = base.unionAll(added.select("row", "kind", "start", "stop"))
     return base, frame.select("key", "row")
 

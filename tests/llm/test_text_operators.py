@@ -82,6 +82,28 @@ def test_pii_adds_spans_that_look_alike_and_nothing_else(spark):
     assert found[0].spans == "card:17:33"
 
 
+@pytest.mark.parametrize("copies", [1, 20])
+def test_pii_generators_add_spans_at_every_size(spark, copies):
+    names = ["ann", "bob", "cleo", "dora", "emil", "fritz", "gina", "hugo", "ida", "jan", "kurt", "lea"]
+    texts = [f"write to {n}@{n}site.org today" for n in names] + ["the price @home, a list@once and so@on"] * 4
+    texts = texts * copies + [f"card 4111111111111111 and page {10 + i % 50} here" for i in range(300)]
+    texts += ["write to max@müller.org today", "not a thing@all today"]
+    rows = list(enumerate(texts))
+    found = {r.doc_id: r for r in pii.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[len(rows) - 2].n_email == 0 and found[len(rows) - 2].spans == "mail_like:9:23"
+    assert found[len(rows) - 1].spans == ""
+
+
+def test_pii_thresholds():
+    many = [("number_like", 50, 500, 490), ("number_like", 10, 500, 20), ("mail_like", 50, 2, 2), ("mail_like", 10, 2, 0)]
+    assert pii.thresholds(many) == {"mail_like": 50, "number_like": 50, "dotted_like": 50}
+    bad = [("dotted_like", 50, 500, 300), ("dotted_like", 70, 1, 0)]
+    assert pii.thresholds(many + bad) == {"number_like": 50}
+    assert pii.thresholds(many + [("dotted_like", 50, 40, 10)])["number_like"] == 50
+    assert "dotted_like" not in pii.thresholds(many + [("dotted_like", 50, 40, 10)])
+    assert pii.thresholds([]) == {}
+
+
 def test_pii_of_an_empty_table_and_redaction(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert pii.digests(empty).count() == 0
