@@ -2,7 +2,8 @@
 
 Four base patterns with checks (e-mail addresses, IP addresses, card and phone numbers) always count. Three generators
 propose further spans, which may overlap the base ones: anything around an at sign, numbers in groups, and dotted
-numbers. A candidate that holds a valid base match is a positive example, any other a negative one; trees are boosted
+numbers. A candidate that holds a valid base match is a positive example, any other a negative one; an obfuscated at sign
+is written out first, so "john (at) example.com" counts as the address that it stands for. Trees are boosted
 on the form of the candidate and the words and letters beside it, never on the checks themselves. On a third of all
 candidates, which the trees never see, every generator gets the lowest threshold that keeps ``PRECISION``; candidates
 above it are added.
@@ -34,6 +35,8 @@ PRIOR_ROWS = 10
 STEPS = 64
 BEFORE, AFTER = 24, 8
 
+#: An at sign in disguise, apart from the spaces around it.
+HIDDEN_AT = r"[(\[]at[)\]]"
 #: The patterns, with possessive repeats where nothing can be given back: a long run costs one pass and no stack.
 #: A match that starts inside a run of its first letters would have started at the run's head, or at the last match's end.
 PATTERNS = {
@@ -41,7 +44,7 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}",
     "card": r"(?:(?<![0-9])|\G)[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "mail_like": r"(?:(?<![^\s@|,;<>])|\G)[^\s@|,;<>]++(?:@|\x20?[(\[]at[)\]]\x20?)[^\s@|,;<>]++",
+    "mail_like": rf"(?:(?<![^\s@|,;<>])|(?<={HIDDEN_AT})|\G)(?:(?!{HIDDEN_AT})[^\s@|,;<>])++(?:@|\x20?{HIDDEN_AT}\x20?)[^\s@|,;<>]++",
     "number_like": r"(?<![0-9])[+(]?[0-9](?:[\x20()./+-]{0,2}+[0-9])++",
     "dotted_like": r"(?:(?<![0-9])|\G)[0-9]++(?:[.:_][0-9]++){2,}+",
 }
@@ -109,6 +112,11 @@ def _proven(hit: Column) -> Column:
     return reduce(lambda a, b: a | b, map(holds, BASE_KINDS))
 
 
+def _written_out(kind: Column, hit: Column) -> Column:
+    """The candidate with its obfuscated at sign undone."""
+    return F.when(kind == "mail_like", F.regexp_replace(hit, rf"\x20?{HIDDEN_AT}\x20?", "@")).otherwise(hit)
+
+
 def _letter_kind(letter: Column) -> Column:
     """0 for nothing or white space, 1 for a letter, 2 for a digit, 3 for anything else."""
     return (
@@ -117,8 +125,8 @@ def _letter_kind(letter: Column) -> Column:
 
 
 def features() -> list[Column]:
-    """Numbers that describe the form of a candidate and its surroundings."""
-    hit = F.col("hit")
+    """Numbers that describe the form of a candidate, written out, and its surroundings."""
+    hit = F.col("plain")
     groups = F.split(F.regexp_replace(hit, "^[^0-9]+|[^0-9]+$", ""), "[^0-9]+")
     count = lambda letters: F.length(hit) - F.length(F.translate(hit, letters, ""))
     cue = F.when(F.col("before").rlike(CUES_FOR), 1).when(F.col("before").rlike(CUES_AGAINST), -1).otherwise(0)
@@ -217,13 +225,17 @@ def find(documents: DataFrame, key: str = "doc_id", text: str = "text", sample:
     ).select("row", "kind", "start", "stop")
     candidates = stored(
         placed.where(F.col("kind").isin(*ADDED_KINDS)).select(
-            "row", "kind", "i", "start", "stop", _proven(F.col("hit")).alias("proven"), *features()
+            "row", "kind", "i", "start", "stop", "hit", "before", "after", _written_out(F.col("kind"), F.col("hit")).alias("plain")
         )
+        .select(
+            "row", "kind", "i", "start", "stop", _proven(F.col("plain")).alias("proven"),
+            (F.col("plain") != F.col("hit")).alias("hidden"), *features()
+        )
     )
     trees, limits = train(candidates, sample)
     if trees is not None and limits:
         limit = reduce(lambda c, k: c.when(F.col("kind") == k, limits[k]), limits, F)
-        added = candidates.where(~F.col("proven")).where(_step(trees) >= limit)
+        added = candidates.where(~F.col("proven") | F.col("hidden")).where(_step(trees) >= limit)
         base = base.unionAll(added.select("row", "kind", "start", "stop"))
     return base, frame.select("key", "row")
 

@@ -94,6 +94,19 @@ def test_pii_generators_add_spans_at_every_size(spark, copies):
     assert found[len(rows) - 1].spans == ""
 
 
+def test_pii_finds_obfuscated_addresses(spark):
+    names = ["ann", "bob", "cleo", "dora", "emil", "fritz", "gina", "hugo", "ida", "jan", "kurt", "lea"]
+    texts = [f"write to {n}@{n}site.org today" for n in names * 10] + ["the price @home, a list@once and so@on"] * 40
+    hidden = ["john (at) example.com", "john[at]example.com", "john(at) example.com"]
+    texts += [f"card 4111111111111111 and page {10 + i % 50} here" for i in range(300)]
+    texts += [f"write to {h} today" for h in hidden] + ["meet (at) noon today"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [r.spans for r in pii.digests(df).orderBy("doc_id").collect()][-6:]
+    assert found == [f"mail_like:9:{9 + len(h)}" for h in hidden] + [""] * 3
+    redacted = [r.text for r in pii.redact(df).orderBy("doc_id").collect()][-6:]
+    assert redacted == ["write to [PII] today"] * 3 + ["meet (at) noon today"] * 3
+
+
 def test_pii_thresholds():
     many = [("number_like", 50, 500, 490), ("number_like", 10, 500, 20), ("mail_like", 50, 2, 2), ("mail_like", 10, 2, 0)]
     assert pii.thresholds(many) == {"mail_like": 50, "number_like": 50, "dotted_like": 50}
