@@ -2,18 +2,18 @@
 
 A good document should beat a poor one: the chance that it does is the logistic function of the difference of their
 scores, and a score is linear in the features of the whole text. The weights are fitted by logistic loss on the feature
-differences of random (good, poor) pairs. The threshold is the quantile of the training scores at the share of poor
-documents; scores are then stretched to 0..1 so that it lies at ``CUT``.
+differences of random (good, poor) pairs. The threshold is the quantile of the scores of all labelled documents at the
+share of poor ones; scores are then stretched to 0..1 so that it lies at ``CUT``.
 
 Features are shapes of the text (lengths, repetition, symbols, case), never its key, source, language or labels. The
-model is fitted on at most ``max_labelled`` labelled documents, picked by a hash of their key.
+weights are fitted on at most ``max_labelled`` labelled documents, picked by a hash of their key.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import pairwise
 
 import numpy as np
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablemend.llm.common import bounded_sample, in_batches, remainder, ship, texts_of
+from tablemend.llm.common import bounded_sample, in_batches, remainder, ship, stored, texts_of
 
 ship(__name__)
 
@@ -29,6 +29,8 @@ CUT = 0.3
 MAX_LABELLED = 8000
 PAIRS = 40_000
 RIDGE = 1e-3
+#: The rank of the threshold is exact up to one in so many rows.
+ACCURACY = 1_000_000
 #: Standard scores beyond this are as odd as can be.
 CLIP = 5.0
 
@@ -126,7 +128,7 @@ def train(
     """Fit a ranking on labelled documents, ``quality`` 1 being the better.
 
     ``learn_from`` says which rows of ``labels`` may be learnt from. Documents whose labels disagree or are null are
-    left out. The sample is joined by broadcast; ``max_labelled`` bounds it.
+    left out. The sample is joined by broadcast; ``max_labelled`` bounds it. The threshold covers all labelled documents.
     """
     usable = labels.where(F.col("doc_id").isNotNull())
     if learn_from is not None:
@@ -147,7 +149,28 @@ def train(
     if rows.empty:
         return fit(np.zeros((0, len(features("")))), np.zeros(0, bool))
     order = np.lexsort(np.vstack(rows["x"]).T)
-    return fit(np.vstack(rows["x"])[order], (rows["good"].to_numpy() == 1)[order])
+    x, good = np.vstack(rows["x"])[order], (rows["good"].to_numpy() == 1)[order]
+    ranking = fit(x, good)
+    if good.all() or not good.any() or agreed.count() <= max_labelled:
+        return ranking
+    threshold = _threshold(ranking, documents, agreed)
+    return replace(ranking, threshold=threshold, slope=_slope(ranking.raw(x) - threshold, good))
+
+
+def _threshold(ranking: Ranking, documents: DataFrame, agreed: DataFrame) -> float:
+    """The quantile of the raw scores of all labelled documents at the share of poor ones. Texts are not shuffled."""
+    frame = texts_of(documents).where(F.col("doc_id").isNotNull())
+
+    def run(batch):
+        x = np.array([features(t.as_py()) for t in batch.column(1)]).reshape(batch.num_rows, -1)
+        return {"doc_id": batch.column(0), "raw": ranking.raw(x)}
+
+    kind = frame.schema["doc_id"].dataType.simpleString()
+    scored = stored(in_batches(frame, run, f"doc_id {kind}, raw double").join(agreed, "doc_id").select("raw", "quality"))
+    poor = F.count_if(F.coalesce(F.col("quality") != 1, F.lit(True)))
+    rows, n_poor = scored.agg(F.count("*"), poor).first()
+    shares = [(n_poor - 0.5) / rows, (n_poor + 0.5) / rows]
+    return float(np.mean(scored.agg(F.percentile_approx("raw", shares, ACCURACY)).first()[0]))
 
 
 def score(documents: DataFrame, ranking: Ranking, key: str = "doc_id", text: str = "text") -> DataFrame:

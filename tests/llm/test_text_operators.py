@@ -214,6 +214,17 @@ def test_quality_on_held_out_documents(spark):
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.98
 
 
+def test_quality_threshold_covers_all_labels(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join("x" * int(n) for n in rng.integers(1, 12, rng.integers(3, 60))) for _ in range(600)]
+    good = [int(len(t) + rng.normal() * 60 > 130) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(good)), "doc_id long, quality int").where("doc_id % 10 != 0")
+    ranking = quality.train(docs, labels, max_labelled=40)
+    raw = ranking.raw(np.array([quality.features(t) for i, t in enumerate(texts) if i % 10]))
+    assert sum(raw > ranking.threshold) == sum(g for i, g in enumerate(good) if i % 10)
+
+
 def test_quality_without_two_sorts_of_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None), (None, ""), (2, "x")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
