@@ -18,6 +18,7 @@ from tablemend.llm import (
     quality,
     secret_scan,
     substring_dedup,
+    token_files,
     topk,
 )
 from tablemend.llm.common import read, stored
@@ -71,6 +72,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(read(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
@@ -82,4 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_substrings": op9_substrings,
     "op10_language": op10_language,
+    "op11_token_files": op11_token_files,
 }

@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op9_substrings": "doc_id n_words n_removed kept_sha256",
     "op10_language": "doc_id held_out lang_pred score",
+    "op11_token_files": "doc_id start n_tokens ids_crc32",
 }
 
 
