@@ -26,7 +26,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain, groupby
 from operator import itemgetter
 from uuid import uuid4
@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablemend.llm.bpe import SPACE
+from tablemend.llm.bpe import SPACE, byte_letters
 from tablemend.llm.common import arrow_schema, share, shared_path, ship
 
 ship(__name__)
@@ -53,11 +53,15 @@ FOOTER_SIZE = struct.calcsize(FOOTER)
 #: Ids in a file, ids and letters that a task works on at a time, and encoded units of text that it remembers.
 IDS_PER_FILE = 1 << 26
 RUN_IDS = 1 << 19
-RUN_LETTERS = 1 << 21
+RUN_LETTERS = 1 << 22
 REMEMBERED = 500_000
 LONG_UNIT = 64
 #: Units in one call of the library.
 UNITS = 5000
+#: A word in UTF-8, of letters of ASCII, Latin-1, Latin Extended-A, Greek and Cyrillic.
+WORD = re.compile(
+    rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4\xc5\xd0\xd1][\x80-\xbf]|\xce[\x91-\xa1\xa3-\xbf]|\xcf[\x80-\x8e])+"
+)
 #: Where a long text may be cut, white space beyond ASCII, and what a byte of ASCII is.
 PLACE = re.compile(rf"[^{SPACE}](?=[{SPACE}])")
 WIDE_SPACE = re.compile(r"[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -268,6 +272,9 @@ class TextEncoder:
         self._marks = IS_MARK & ~np.array([chr(b) in inner for b in range(256)])
         special = [t for t in added if t["special"] and not t["normalized"]]
         self._between = (special[0]["content"], special[0]["id"]) if special else None
+        #: A unit of letters is one word, which goes straight to the library's model, its bytes as the letters for them.
+        self._words = parts["model"].get("type") == "BPE" and not any(t["content"].strip().isalpha() for t in added)
+        self._letters = {byte: letter for letter, byte in byte_letters().items()}
         self._known: dict[bytes, bytes] = {}
 
     def runs(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
@@ -326,26 +333,41 @@ class TextEncoder:
             if len(known) + len(new) > REMEMBERED:
                 # Those of this run stay, so the common ones always do.
                 known = self._known = {u: ids for u, ids in zip(units, found) if ids is not None}
-            made = {u: ids for i in range(0, len(new), UNITS) for u, ids in self._library(new[i : i + UNITS])}
+            made = self._encoded(new)
             known.update((u, ids) for u, ids in made.items() if len(u) <= LONG_UNIT)
             found = [made[u] if ids is None else ids for u, ids in zip(units, found)]
         return found
 
 
-    def _library(self, units: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Encode units by the library in one call, with a token between them that it never merges with text."""
-        ids, ends = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+    def _encoded(self, units: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of distinct units."""
+        is_word = list(map(WORD.fullmatch, units)) if self._words else [None] * len(units)
+        words = [u for u, hit in zip(units, is_word) if hit]
+        others = [u for u, hit in zip(units, is_word) if not hit]
+        tokenize, letters = self._tokenizer.model.tokenize, self._letters
+        found = [[t.id for t in tokenize(w.decode("latin-1").translate(letters))] for w in words]
+        made = _split(words, list(chain.from_iterable(found)), list(map(len, found)))
+        for i in range(0, len(others), UNITS):
+            made |= self._by_library(others[i : i + UNITS])
+        return made
+
+    def _by_library(self, units: list[bytes]) -> dict[bytes, bytes]:
+        """The same for units of any kind, in one call, with a token between them that never merges with text."""
         if self._between:
             text, between = self._between
-            ids = np.array(self._tokenizer.encode(text.join(u.decode() for u in units), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self._tokenizer.encode(text.join(u.decode() for u in units), add_special_tokens=False).ids)
             ends = np.flatnonzero(ids == between)
-        if len(ends) == len(units) - 1:
-            data = ids.tobytes()
-            bounds = (4 * ends).tolist()
-            yield from zip(units, [data[a:b] for a, b in zip([0, *(b + 4 for b in bounds)], [*bounds, len(data)])])
-        else:  # there is no such token, or a unit holds it
-            found = self._tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)
-            yield from zip(units, [np.array(e.ids, dtype="<u4").tobytes() for e in found])
+            if len(ends) == len(units) - 1:  # so no unit holds that token
+                return _split(units, ids[ids != between], np.diff(ends, prepend=-1, append=len(ids)) - 1)
+        found = [e.ids for e in self._tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
+        return _split(units, list(chain.from_iterable(found)), list(map(len, found)))
+
+
+def _split(units: list[bytes], ids: Sequence[int], lengths: Sequence[int]) -> dict[bytes, bytes]:
+    """The ids of all units, one after another, as bytes for each unit."""
+    data = np.array(ids, dtype="<u4").tobytes()
+    ends = (4 * np.cumsum(lengths, dtype=np.int64)).tolist()
+    return {u: data[a:b] for u, a, b in zip(units, [0, *ends], ends)}
 
 
 def _pieces(text: str) -> Iterator[str]:

@@ -52,6 +52,7 @@ def test_units_equal_the_library(monkeypatch, letters):
     pieces = [*"ab 's t1!,_\t\n\x0b\x1c\x1f\x85\xa0 　é中́​﻿᠎\x00²", "<|endoftext|>", "'re", "', "]
     pick = random.Random(7)
     texts = ["", " ", "x" * 300] + ["".join(pick.choice(pieces) for _ in range(pick.randrange(60))) for _ in range(4000)]
+    texts += [f"ab{chr(c)}cd {chr(c)}, {chr(c)}{chr(c)}" for c in range(0x3000) if not 0xD800 <= c < 0xE000]
     want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
     assert _encoded(encoder, texts) == want
 
