@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tablemend.llm import (
     bpe,
+    collocations,
     decontaminate,
+    filter_audit,
     jaccard,
     language,
     line_dedup,
@@ -76,6 +78,14 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"), support=10, longest=3, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
@@ -88,4 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substrings": op9_substrings,
     "op10_language": op10_language,
     "op11_token_files": op11_token_files,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_collocations": op13_collocations,
 }

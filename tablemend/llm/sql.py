@@ -101,4 +101,89 @@ SQL: dict[str, str] = {
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM w LEFT JOIN k ON w.doc_id = k.doc_id
     """,
+    "op12_filter_audit": r"""
+        WITH w AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), g AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                   max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+            FROM labels GROUP BY doc_id
+        ), f AS (
+            SELECT w.doc_id, part,
+                   CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask,
+                   coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+            FROM w LEFT JOIN g ON w.doc_id = g.doc_id
+        ), c AS (
+            SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask
+        ), b AS (
+            SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(letter, bit)
+        ), o AS (
+            SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+            FROM b a, b b, b c, b d, b e
+            WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31
+        ), s AS (
+            SELECT filter_order, step, b.bit,
+                   (SELECT coalesce(sum(x.bit), 0) FROM b x WHERE instr(filter_order, x.letter) < step) AS before
+            FROM o, UNNEST([1, 2, 3, 4, 5]) AS u(step), b
+            WHERE b.letter = filter_order[step]
+        ), r AS (
+            SELECT part, filter_order, step, s.bit,
+                   sum(CASE WHEN mask & bit = 0 AND mask & before::INT = 0 THEN n ELSE 0 END) AS kept,
+                   sum(CASE WHEN mask & bit > 0 AND mask & before::INT = 0 THEN n ELSE 0 END) AS removed,
+                   sum(CASE WHEN mask & bit > 0 AND mask & before::INT > 0 THEN n ELSE 0 END) AS redundant,
+                   sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                   sum(CASE WHEN mask & bit > 0 AND mask & before::INT = 0 THEN good ELSE 0 END) AS good_lost,
+                   sum(CASE WHEN mask & bit > 0 AND mask & before::INT = 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM c, s GROUP BY part, filter_order, step, s.bit
+        )
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+               CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+               CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM r
+    """,
+    "op13_collocations": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   regexp_extract_all(piece, '[^\x20\x09]+') AS words
+            FROM documents, UNNEST(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]'
+            )) AS u(piece)
+        ), n AS (
+            SELECT lang, sum(len(words)) AS n FROM d GROUP BY lang
+        ), f AS (
+            SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase, count(*) AS f
+            FROM d, UNNEST([1, 2, 3]) AS v(k), UNNEST(range(1, len(words) - k + 2)) AS u(i)
+            GROUP BY ALL HAVING count(*) >= 10
+        ), c AS (
+            SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+        ), s AS (
+            SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r,
+                   (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+            FROM c, UNNEST(range(1, k)) AS u(cut), f x, f y
+            WHERE x.lang = c.lang AND x.phrase = array_to_string(w[1 : cut], ' ')
+              AND y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1 :], ' ')
+        ), m AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS worst FROM s
+        ), b AS (
+            SELECT lang, phrase, max(a) AS longer
+            FROM (SELECT lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase FROM c WHERE k = 3)
+            GROUP BY lang, phrase
+        ), o AS (
+            SELECT m.lang, m.phrase, m.a, l, r, score,
+                   row_number() OVER (PARTITION BY m.lang ORDER BY score DESC, m.a DESC, m.phrase) AS rank
+            FROM m LEFT JOIN b ON m.lang = b.lang AND m.phrase = b.phrase
+            WHERE worst = 1 AND (longer IS NULL OR 100 * longer < 50 * m.a)
+        )
+        SELECT o.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM o JOIN n ON o.lang = n.lang WHERE rank <= 2000
+    """,
 }

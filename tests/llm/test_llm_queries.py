@@ -19,6 +19,8 @@ COLUMNS = {
     "op9_substrings": "doc_id n_words n_removed kept_sha256",
     "op10_language": "doc_id held_out lang_pred score",
     "op11_token_files": "doc_id start n_tokens ids_crc32",
+    "op12_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+    "op13_collocations": "lang rank phrase a l r n score",
 }
 
 
@@ -33,7 +35,7 @@ def test_query_equals_sql(spark, name, scale):
     sf_dir = f"/root/testdata/{scale}"
     df = QUERIES[name](spark, sf_dir)
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     want = con.execute(SQL[name])
     assert _table(df.columns, df.collect()) == _table([c[0] for c in want.description], want.fetchall())
