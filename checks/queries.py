@@ -27,6 +27,7 @@ from tablemend.functions import below, register_rule
 from tablemend.operators import (
     DedupRule,
     Target,
+    ancestors,
     broken_keys,
     declared_columns,
     deduplicate,
@@ -47,6 +48,7 @@ from tablemend.operators import (
     publish,
     publish_counts,
     reduce_to_deepest,
+    reduce_to_deepest_of_all,
     rejects,
     repeated_keys,
     rows_with_keys,
@@ -215,6 +217,44 @@ def fk_cascade_transitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned["lineitem"]
 
 
+CYCLE_CATALOG = Catalog(
+    [
+        table(
+            "customer",
+            [column("c_custkey", LONG, key=True), column("c_orderkey", LONG, references="orders", on_delete=CASCADE)],
+            target="customer",
+        ),
+        table(
+            "orders",
+            [
+                column("o_orderkey", LONG, key=True),
+                column("o_custkey", LONG, references="customer", on_delete=CASCADE),
+            ],
+            target="orders",
+        ),
+    ]
+)
+
+
+def _cyclic_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Orders refer to customers, and a third of the customers to an order."""
+    order = F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey") * 10).alias("c_orderkey")
+    return {
+        "customer": _moved(_read(spark, sf_dir, "customer").select("*", order), "c_custkey", "c_acctbal > 0"),
+        "orders": _read(spark, sf_dir, "orders"),
+    }
+
+
+def fk_cascade_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned, _ = sweep(CYCLE_CATALOG, _cyclic_tables(spark, sf_dir), transitive=True, work_dir=_scratch(spark))
+    return cleaned["orders"]
+
+
+def fk_cascade_cycle_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, quarantine = sweep(CYCLE_CATALOG, _cyclic_tables(spark, sf_dir), transitive=True, work_dir=_scratch(spark))
+    return quarantine["customer"].select("c_custkey", "c_orderkey", "_fk", "_target")
+
+
 def key_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = _read(spark, sf_dir, "customer").select((F.col("c_custkey") * 7).alias("k"))
     return rows_with_keys(_read(spark, sf_dir, "orders"), "o_orderkey", keys, "k")
@@ -350,16 +390,17 @@ def cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicate(_read(spark, sf_dir, "documents"), ["text"], "first", ["doc_id"])
+    return deduplicate(_read(spark, sf_dir, "documents"), ["text"], "first", ["doc_id"], _scratch(spark))
 
 
 def dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicate(_read(spark, sf_dir, "documents"), ["text"], "last", ["doc_id"])
+    return deduplicate(_read(spark, sf_dir, "documents"), ["text"], "last", ["doc_id"], _scratch(spark))
 
 
 def dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Which row of a group stays is free; the length goes by the text, so it is the same in all of them.
-    return deduplicate(_read(spark, sf_dir, "documents"), ["text", "lang"], "any").select("text", "lang", "n_chars")
+    kept = deduplicate(_read(spark, sf_dir, "documents"), ["text", "lang"], "any", work_dir=_scratch(spark))
+    return kept.select("text", "lang", "n_chars")
 
 
 def dedup_none(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,6 +495,27 @@ def reduce_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce_to_deepest(links, tree, "orderkey", "place", "place", "parent")
 
 
+def _three_levels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The same with a world, 2000, above the regions, to which every third order is linked."""
+    links, tree = _order_places(spark, sf_dir)
+    world = _read(spark, sf_dir, "region").select(
+        (F.col("r_regionkey") + 1000).alias("place"), F.lit(2000).alias("parent")
+    )
+    everywhere = _read(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
+    linked = links.unionByName(everywhere.select(F.col("o_orderkey").alias("orderkey"), F.lit(2000).alias("place")))
+    return linked, tree.unionByName(world)
+
+
+def reduce_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links, tree = _three_levels(spark, sf_dir)
+    return reduce_to_deepest_of_all(links, tree, "orderkey", "place", "place", "parent", _scratch(spark))
+
+
+def tree_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, tree = _three_levels(spark, sf_dir)
+    return ancestors(tree, "place", "parent", _scratch(spark))
+
+
 # --- assets -----------------------------------------------------------------
 
 ASSET_CATALOG = Catalog(
@@ -721,6 +783,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fk_quarantine,
         fk_orphan_counts,
         fk_cascade_transitive,
+        fk_cascade_cycle,
+        fk_cascade_cycle_quarantine,
         key_semi,
         key_exists,
         zero_to_null,
@@ -745,6 +809,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         target_projection,
         declared_projection,
         reduce_hierarchy,
+        reduce_levels,
+        tree_ancestors,
         asset_manifest,
         distinct_paths,
         asset_full_paths,

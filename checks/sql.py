@@ -48,17 +48,52 @@ LEFT JOIN nation ON c_nationkey = n_nationkey
 LEFT JOIN region ON n_regionkey = r_regionkey
 """
 
-_PLACES = """
-WITH tree AS (SELECT n_nationkey AS place, n_regionkey + 1000 AS parent FROM nation),
+_LINKS = """
+SELECT DISTINCT l_orderkey AS orderkey, s_nationkey AS place
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+UNION ALL
+SELECT o_orderkey, n_regionkey + 1000
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+"""
+_PLACES = f"""
+SELECT orderkey, place FROM ({_LINKS}) AS links
+WHERE NOT EXISTS (
+  SELECT 1 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+  WHERE l_orderkey = orderkey AND n_regionkey + 1000 = place)
+"""
+_ANCESTORS = """
+WITH RECURSIVE tree AS (
+  SELECT n_nationkey AS place, n_regionkey + 1000 AS parent FROM nation
+  UNION ALL
+  SELECT r_regionkey + 1000, 2000 FROM region),
+up(place, ancestor) AS (
+  SELECT place, parent FROM tree
+  UNION
+  SELECT up.place, tree.parent FROM up JOIN tree ON up.ancestor = tree.place)
+"""
+_LEVELS = f"""
+{_ANCESTORS},
+links AS ({_LINKS} UNION ALL SELECT o_orderkey, 2000 FROM orders WHERE o_orderkey % 3 = 0)
+SELECT orderkey, place FROM links l
+WHERE NOT EXISTS (
+  SELECT 1 FROM links m JOIN up ON m.place = up.place WHERE m.orderkey = l.orderkey AND up.ancestor = l.place)
+"""
+
+_FALLEN = """
+WITH RECURSIVE moved AS (
+  SELECT CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -1 - c_custkey END AS k,
+         nullif(CASE WHEN c_custkey % 3 = 0 THEN c_custkey * 10 END, 0) AS ref
+  FROM customer),
 links AS (
-  SELECT DISTINCT l_orderkey AS orderkey, s_nationkey AS place
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+  SELECT 'customer' AS kind, k, ref FROM moved
   UNION ALL
-  SELECT o_orderkey, n_regionkey + 1000
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
-, covered AS MATERIALIZED (
-  SELECT DISTINCT l.orderkey, t.parent AS place FROM links l JOIN tree t ON l.place = t.place)
-SELECT orderkey, place FROM links ANTI JOIN covered USING (orderkey, place)
+  SELECT 'orders', o_orderkey, nullif(o_custkey, 0) FROM orders),
+fallen(kind, k) AS (
+  SELECT kind, k FROM links
+  WHERE kind = 'orders' AND ref IS NOT NULL AND ref NOT IN (SELECT k FROM moved)
+     OR kind = 'customer' AND ref IS NOT NULL AND ref NOT IN (SELECT o_orderkey FROM orders)
+  UNION
+  SELECT links.kind, links.k FROM fallen JOIN links ON links.ref = fallen.k AND links.kind <> fallen.kind)
 """
 
 _URLS = "SELECT DISTINCT url FROM pages WHERE page_id % 5 <> 0 AND trim(url) <> ''"
@@ -237,4 +272,13 @@ SQL: dict[str, str] = {
         LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 7) ON c_nationkey = n_nationkey
         LEFT JOIN region ON n_regionkey = r_regionkey""",
     "clean_links": _PLACES,
+    "reduce_levels": _LEVELS,
+    "tree_ancestors": f"{_ANCESTORS} SELECT place, ancestor FROM up",
+    "fk_cascade_cycle": f"""
+        {_FALLEN}
+        SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT k FROM fallen WHERE kind = 'orders')""",
+    "fk_cascade_cycle_quarantine": f"""
+        {_FALLEN}
+        SELECT k AS c_custkey, ref AS c_orderkey, 'c_orderkey' AS _fk, 'orders' AS _target
+        FROM links WHERE kind = 'customer' AND k IN (SELECT k FROM fallen WHERE kind = 'customer')""",
 }

@@ -167,6 +167,17 @@ def table(
     return TableSpec(name, StructType(list(columns)), target, join_to, row_filter)
 
 
+def _ways(start: str, catalog: Catalog, among: Iterable[str]) -> Iterator[list[str]]:
+    """Shortest ways of references from a table to each of some others."""
+    seen, queue = {start}, [[start]]
+    for way in queue:
+        for fk in catalog[way[-1]].foreign_keys:
+            if fk.target in among and fk.target not in seen:
+                seen.add(fk.target)
+                queue.append([*way, fk.target])
+                yield queue[-1]
+
+
 class Catalog(Mapping[str, TableSpec]):
     """An ordered set of table contracts."""
 
@@ -215,25 +226,49 @@ class Catalog(Mapping[str, TableSpec]):
 
     def load_order(self, names: Iterable[str] | None = None) -> list[str]:
         """Tables ordered so that every foreign key target comes before its referrers."""
+        groups = self.load_groups(names)
+        for group in groups:
+            if len(group) > 1:
+                raise ContractError("foreign keys form a cycle: " + " -> ".join([*self._cycle(group), group[0]]))
+        return [group[0] for group in groups]
+
+    def load_groups(self, names: Iterable[str] | None = None) -> list[list[str]]:
+        """Tables in groups, every foreign key target in an earlier group than its referrers or in the same.
+
+        A group of several tables is a strongly connected part of the contract:
+        each of them refers, by way of the others, to itself. Tables of a group
+        are in catalog order.
+        """
         names = self.subset(names)
-        ordered: list[str] = []
+        refers = {n: [fk.target for fk in self[n].foreign_keys if fk.target in names] for n in names}
+        found: dict[str, int] = {}
+        lowest: dict[str, int] = {}
         open_path: list[str] = []
+        groups: list[list[str]] = []
 
         def visit(name: str) -> None:
-            if name in ordered:
-                return
-            if name in open_path:
-                raise ContractError("foreign keys form a cycle: " + " -> ".join([*open_path, name]))
+            found[name] = lowest[name] = len(found)
             open_path.append(name)
-            for fk in self[name].foreign_keys:
-                if fk.target in names and fk.target != name:
-                    visit(fk.target)
-            open_path.pop()
-            ordered.append(name)
+            for target in refers[name]:
+                if target not in found:
+                    visit(target)
+                    lowest[name] = min(lowest[name], lowest[target])
+                elif target in open_path:
+                    lowest[name] = min(lowest[name], found[target])
+            if lowest[name] == found[name]:
+                at = open_path.index(name)
+                groups.append([n for n in names if n in open_path[at:]])
+                del open_path[at:]
 
         for name in names:
-            visit(name)
-        return ordered
+            if name not in found:
+                visit(name)
+        return groups
+
+    def _cycle(self, group: list[str]) -> list[str]:
+        """A way of references from the first table of a group through the group, back to where it starts."""
+        ways = _ways(group[0], self, group)
+        return next(way for way in ways if any(fk.target == group[0] for fk in self[way[-1]].foreign_keys))
 
     def validate(self) -> None:
         """Check every contract and every reference between them."""

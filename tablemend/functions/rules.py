@@ -8,36 +8,24 @@ against a text gauge, say) passes through unchanged.
 
 from __future__ import annotations
 
-import html
 from collections.abc import Callable
 from typing import Any
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, NumericType, StringType
 
+from tablemend.functions.entities import unescape
+
 Rule = Callable[..., Column]
 
 # The texts that stand for "no date".
 ZERO_DATES = ("0000-00-00", "0000-00-00 00:00:00")
 
 
-@F.arrow_udf(StringType())
-def _unescape(texts: pa.Array) -> pa.Array:
-    return pa.array([None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
-
-
 def to_html(value: Column, data_type: DataType) -> Column:
-    """Turn HTML character references into the characters they name, once.
-
-    Only texts that hold an ``&`` are handed to Python; the others go across as
-    NULL and are taken from the column itself.
-    """
-    if not isinstance(data_type, StringType):
-        return value
-    escaped = F.when(F.contains(value, F.lit("&")), value)
-    return F.coalesce(_unescape(escaped), value)
+    """Turn HTML character references into the characters they name, once."""
+    return unescape(value) if isinstance(data_type, StringType) else value
 
 
 def zero_to_none(value: Column, data_type: DataType) -> Column:

@@ -3,14 +3,16 @@ from tablemend.operators.dedup import (
     DedupRule,
     deduplicate,
     deduplicate_all,
+    deduplicate_by_digest,
     distinct_texts,
     distinct_values,
 )
 from tablemend.operators.enrich import join_all, left_join
-from tablemend.operators.hierarchy import reduce_to_deepest
+from tablemend.operators.hierarchy import HierarchyError, ancestors, reduce_to_deepest, reduce_to_deepest_of_all
 from tablemend.operators.integrity import (
     Checked,
     Target,
+    all_broken_keys,
     broken_keys,
     enforce,
     orphan_counts,
@@ -32,12 +34,16 @@ from tablemend.operators.quality import fill_defaults, profile, repeated_keys, v
 __all__ = [
     "Checked",
     "DedupRule",
+    "HierarchyError",
     "Target",
+    "all_broken_keys",
+    "ancestors",
     "broken_keys",
     "contains_key",
     "declared_columns",
     "deduplicate",
     "deduplicate_all",
+    "deduplicate_by_digest",
     "distinct_texts",
     "distinct_values",
     "enforce",
@@ -57,6 +63,7 @@ __all__ = [
     "publish",
     "publish_counts",
     "reduce_to_deepest",
+    "reduce_to_deepest_of_all",
     "rejects",
     "repeated_keys",
     "rows_with_keys",

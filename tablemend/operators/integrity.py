@@ -10,27 +10,41 @@ Two ways to the same result:
 
 * **one pass**: the table is joined to the distinct keys of each target. With
   targets small enough to broadcast nothing of the table is shuffled.
-* **two passes** (``work_dir`` given): the distinct values of each foreign key,
+* **two passes** (``work_dir`` given): the distinct values of all foreign keys,
   with their row counts, are checked first and the broken ones written out.
-  That moves one narrow column, folded before the shuffle. The table is then
-  checked against the broken values, whose true size Spark now knows: a short
-  list is broadcast and the wide rows are not shuffled at all, whatever the
-  size of the targets; a long one is joined by shuffle.
+  One scan of the key columns makes one table of (key, value) pairs, folded
+  before the shuffle and joined once to the keys of all targets. The table is
+  then checked against the broken values, whose true size Spark now knows: a
+  short list is broadcast and the wide rows are not shuffled at all, whatever
+  the size of the targets; a long one is joined by shuffle.
+
+Tables that refer to each other in a cycle are cleaned together, until no more
+rows fall (:func:`sweep`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import replace
 from functools import cached_property, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StructField, StructType
 
 from tablemend.contract import CASCADE, SET_NULL, Catalog, ContractError, ForeignKey, TableSpec
 from tablemend.functions.text import named, quoted
-from tablemend.operators.keys import fk_value, is_set, mark, with_key_in, with_key_not_in
+from tablemend.operators.keys import (
+    check_types,
+    coded,
+    decoded,
+    fk_value,
+    is_set,
+    mark,
+    with_key_in,
+    with_key_not_in,
+)
 from tablemend.sources.files import write_table, write_tables
 
 
@@ -62,6 +76,39 @@ def broken_keys(df: DataFrame, fk_column: str, target: Target) -> DataFrame:
     return with_key_not_in(counted, [fk_column], target.rows, [target.key], (), distinct=not target.unique)
 
 
+def all_broken_keys(df: DataFrame, keys: Sequence[ForeignKey], targets: Mapping[str, Target]) -> DataFrame:
+    """Broken values of several foreign keys of a table, from one scan of it: ``(fk, whole, text, rows)``.
+
+    ``fk`` is the key's place in ``keys``; whole number and text stand for the
+    value, see :func:`tablemend.operators.keys.coded`. The values of all keys are
+    counted together and looked up together among the tagged keys of all targets.
+    """
+    melted, known = [], []
+    for i, fk in enumerate(keys):
+        target = targets[fk.target]
+        my_type, key_type = df.schema[fk.column].dataType, target.rows.schema[target.key].dataType
+        check_types(my_type, key_type)
+        whole, text = coded(quoted(fk.column), my_type)
+        melted.append(
+            f"named_struct('fk', {i}, 'target', {list(targets).index(fk.target)}, "
+            f"'whole', {whole}, 'text', {text}, 'filled', {is_set(df.schema, fk.column)})"
+        )
+    for i, (name, target) in enumerate(targets.items()):
+        if any(fk.target == name for fk in keys):
+            whole, text = coded(quoted(target.key), target.rows.schema[target.key].dataType)
+            known.append(
+                target.rows.where(f"{quoted(target.key)} IS NOT NULL").selectExpr(
+                    f"{i} AS target", f"{whole} AS whole", f"{text} AS text"
+                )
+            )
+    values = df.selectExpr(f"inline(array({', '.join(melted)}))").where("filled")
+    counted = values.groupBy("fk", "target", "whole", "text").agg(F.count(F.lit(1)).alias("rows"))
+    value = ["target", "whole", "text"]
+    unique = all(targets[fk.target].unique for fk in keys)
+    broken = with_key_not_in(counted, value, reduce(DataFrame.unionByName, known), value, (), distinct=not unique)
+    return broken.select("fk", "whole", "text", "rows")
+
+
 def rows_with_keys(df: DataFrame, column: str, keys: DataFrame, key_column: str) -> DataFrame:
     """The rows of a table whose key is in a key set (used to back up rows before they are dropped)."""
     return with_key_in(df, [column], keys, [key_column])
@@ -88,7 +135,7 @@ class Checked:
         spec: TableSpec,
         targets: Mapping[str, Target],
         zero_as_null: bool = False,
-        broken: Mapping[str, DataFrame] | None = None,
+        broken: DataFrame | None = None,
         path: str | None = None,
     ):
         self._df = df
@@ -118,7 +165,10 @@ class Checked:
                 target = self._targets[fk.target]
                 df = mark(df, fk.column, value, target.rows, target.key, _flag(fk), spread_by, missing=True)
             else:
-                df = mark(df, fk.column, value, self._broken[fk.column], fk.column, _flag(fk), spread_by)
+                values = self._broken.where(F.col("fk") == self._keys.index(fk)).selectExpr(
+                    f"{decoded('whole', 'text', schema[fk.column].dataType)} AS value"
+                )
+                df = mark(df, fk.column, value, values, "value", _flag(fk), spread_by)
         return df
 
     @cached_property
@@ -165,12 +215,15 @@ class Checked:
 
     def fault_counts(self) -> DataFrame | None:
         """Broken rows per foreign key, ``(_table, _fk, rows)``, from the key columns alone; None without keys."""
-        counts = []
-        for fk in self._keys:
-            broken = self._broken[fk.column] if self._broken else broken_keys(self._df, fk.column, self._targets[fk.target])
-            labels = F.lit(self._spec.name).alias("_table"), F.lit(fk.column).alias("_fk")
-            counts.append(broken.agg(F.sum("rows").alias("rows")).where("rows IS NOT NULL").select(*labels, "rows"))
-        return reduce(DataFrame.unionByName, counts) if counts else None
+        if not self._keys:
+            return None
+        broken = self._broken if self._broken is not None else all_broken_keys(self._df, self._keys, self._targets)
+        names = F.element_at(F.array([F.lit(fk.column) for fk in self._keys]), F.col("fk") + 1)
+        return (
+            broken.groupBy("fk")
+            .agg(F.sum("rows").alias("rows"))
+            .select(F.lit(self._spec.name).alias("_table"), names.alias("_fk"), "rows")
+        )
 
 
 def enforce(
@@ -198,14 +251,14 @@ def enforce(
     return Checked(df, spec, targets, zero_as_null, broken, f"{run}/checked" if write_once else None)
 
 
-def _written_broken_keys(
-    df: DataFrame, spec: TableSpec, targets: Mapping[str, Target], root: str
-) -> dict[str, DataFrame]:
-    keys = {
-        fk.column: broken_keys(df, fk.column, targets[fk.target]) for fk in spec.foreign_keys if fk.target in targets
-    }
-    write_tables(keys, root)
-    return {c: df.sparkSession.read.schema(k.schema).parquet(f"{root}/{c}") for c, k in keys.items()}
+def _written(df: DataFrame, path: str) -> DataFrame:
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _written_broken_keys(df: DataFrame, spec: TableSpec, targets: Mapping[str, Target], path: str) -> DataFrame | None:
+    keys = [fk for fk in spec.foreign_keys if fk.target in targets]
+    return _written(all_broken_keys(df, keys, targets), path) if keys else None
 
 
 class Quarantine(Mapping[str, DataFrame]):
@@ -239,42 +292,130 @@ def sweep(
 
     Targets are the tables as given, so a dropped row does not orphan the rows
     that refer to it. With ``transitive`` targets are cleaned first and it
-    does; a table that refers to itself is then cleaned until nothing more is
-    dropped, which takes a ``work_dir``. Keys whose target is not among the
-    tables are skipped.
+    does. Tables that refer to each other in a cycle by cascades, or one that
+    refers to itself, are then cleaned until nothing more is dropped, which
+    takes a ``work_dir``. Keys whose target is not among the tables are skipped.
     """
     clean = dict(tables)
     checked: dict[str, Checked] = {}
-    for name in catalog.load_order(tables) if transitive else list(tables):
-        spec = catalog[name]
-        source = clean if transitive else tables
+    for group in catalog.load_groups(tables) if transitive else [[name] for name in tables]:
+        source = dict(clean if transitive else tables)
         targets = {
-            fk.target: Target(source[fk.target], catalog[fk.target].key_column, unique=True)
-            for fk in spec.foreign_keys
-            if fk.target in source
+            name: {
+                fk.target: Target(source[fk.target], catalog[fk.target].key_column, unique=True)
+                for fk in catalog[name].foreign_keys
+                if fk.target in source
+            }
+            for name in group
         }
-        if targets:
-            if transitive and any(fk.target == name and fk.on_delete == CASCADE for fk in spec.foreign_keys):
-                targets[name] = _fixpoint(tables[name], spec, targets, work_dir)
-            checked[name] = enforce(tables[name], spec, targets, zero_as_null, work_dir, write_once)
-            clean[name] = checked[name].clean
+        if transitive:
+            left = _left_of_group(catalog, group, tables, targets, work_dir)
+            for name in group:
+                targets[name] |= {target: left[target] for target in targets[name] if target in left}
+        for name in group:
+            if targets[name]:
+                checked[name] = enforce(tables[name], catalog[name], targets[name], zero_as_null, work_dir, write_once)
+                clean[name] = checked[name].clean
     return clean, Quarantine(checked)
 
 
-def _fixpoint(df: DataFrame, spec: TableSpec, targets: Mapping[str, Target], work_dir: str | None) -> Target:
-    """The rows of a table that refers to itself which are left when every cascade has run its course."""
+def _left_of_group(
+    catalog: Catalog,
+    group: Sequence[str],
+    tables: Mapping[str, DataFrame],
+    targets: Mapping[str, Mapping[str, Target]],
+    work_dir: str | None,
+) -> dict[str, Target]:
+    """What is left of the tables that refer to each other when every cascade has run its course.
+
+    First the rows go whose cascading key is broken as the tables were given.
+    Then the keys that fell are looked up among the references, the rows that
+    hold one fall, and with them the keys that no row is left of; until a round
+    brings down none. A round reads the key columns of what the first step left
+    and moves the keys that just fell; every list of fallen keys is written.
+    """
+    specs = {name: catalog[name] for name in group}
+    cascades = {
+        name: [fk for fk in spec.foreign_keys if fk.on_delete == CASCADE and fk.target in tables]
+        for name, spec in specs.items()
+    }
+    inside = {name: [fk for fk in cascades[name] if fk.target in group] for name in group}
+    referred = {fk.target for spec in specs.values() for fk in spec.foreign_keys if fk.target in group}
+    if not referred or not any(cascades.values()):
+        return {}
+    falls = {n: enforce(tables[n], _only(spec, cascades[n]), targets[n], work_dir=work_dir) for n, spec in specs.items()}
+    if not any(inside.values()):
+        return {name: Target(falls[name].clean, specs[name].key_column, unique=True) for name in referred}
     if work_dir is None:
-        raise ContractError(f"{spec.name} refers to itself: a transitive sweep of it needs a work_dir")
-    key, rows = targets[spec.name].key, df.count()
-    left = Target(df, key, unique=True)
+        raise ContractError(f"{' and '.join(group)} refer to themselves: a transitive sweep of them needs a work_dir")
+
+    root = f"{work_dir.rstrip('/')}/run-{uuid4().hex}"
+    session = next(iter(tables.values())).sparkSession
+
+    def written(frames: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+        write_tables(frames, f"{root}/{folder}")
+        return {n: session.read.schema(f.schema).parquet(f"{root}/{folder}/{n}") for n, f in frames.items()}
+
+    rows = written(
+        {
+            name: falls[name].clean.selectExpr(
+                f"{quoted(spec.key_column)} AS key",
+                *[f"{fk_value(tables[name].schema, fk.column)} AS ref_{i}" for i, fk in enumerate(inside[name])],
+            ).distinct()
+            for name, spec in specs.items()
+        },
+        "rows",
+    )
+    given = {
+        name: tables[name].selectExpr(f"{quoted(spec.key_column)} AS key").where("key IS NOT NULL").distinct()
+        for name, spec in specs.items()
+    }
+    first = {n: with_key_not_in(given[n], ["key"], rows[n], ["key"], (), distinct=False) for n in group}
+    fallen = [written(first, "fallen-0")]
     while True:
-        keys = enforce(df, spec, {**targets, spec.name: left}, work_dir=work_dir).clean.select(named(key))
-        path = f"{work_dir.rstrip('/')}/run-{uuid4().hex}/{spec.name}"
-        write_table(keys, path)
-        left = Target(df.sparkSession.read.schema(keys.schema).parquet(path), key, unique=True)
-        before, rows = rows, left.rows.count()
-        if rows == before:
-            return left
+        new = {name for name, keys in fallen[-1].items() if not keys.isEmpty()}
+        if not new:
+            break
+        paths = {n: [f"{root}/fallen-{i}/{n}" for i, step in enumerate(fallen) if n in step] for n in group}
+        gone = {n: session.read.schema(rows[n].select("key").schema).parquet(*paths[n]) for n in group if paths[n]}
+        found = {}
+        for name in group:
+            hit = [
+                with_key_in(rows[name], [f"ref_{i}"], fallen[-1][fk.target], ["key"]).select("key")
+                for i, fk in enumerate(inside[name])
+                if fk.target in new
+            ]
+            if hit:
+                hits = reduce(DataFrame.unionByName, hit).distinct()
+                found[name] = _fallen(rows[name], hits, inside[name], gone, gone.get(name))
+        if not found:
+            break
+        fallen.append(written(found, f"fallen-{len(fallen)}"))
+    paths = {n: [f"{root}/fallen-{i}/{n}" for i, step in enumerate(fallen) if n in step] for n in group}
+    gone = {n: session.read.schema(rows[n].select("key").schema).parquet(*paths[n]) for n in group}
+    left = {n: with_key_not_in(rows[n].select("key").distinct(), ["key"], gone[n], ["key"], ()) for n in group}
+    return {n: Target(keys, "key", unique=True) for n, keys in written(left, "left").items()}
+
+
+def _only(spec: TableSpec, keys: Sequence[ForeignKey]) -> TableSpec:
+    """The contract without its other foreign keys."""
+    fields = [
+        f if "references" not in f.metadata or any(f.name == fk.column for fk in keys) else StructField(f.name, f.dataType, f.nullable)
+        for f in spec.schema
+    ]
+    return replace(spec, schema=StructType(fields))
+
+
+def _fallen(
+    rows: DataFrame, hit: DataFrame, refs: Sequence[ForeignKey], gone: Mapping[str, DataFrame], before: DataFrame | None
+) -> DataFrame:
+    """Of the keys that were hit, those that no row is left of and that had not fallen before."""
+    standing = with_key_in(rows, ["key"], hit, ["key"])
+    for i, fk in enumerate(refs):
+        if fk.target in gone:
+            standing = with_key_not_in(standing, [f"ref_{i}"], gone[fk.target], ["key"], distinct=False)
+    new = with_key_not_in(hit, ["key"], standing, ["key"], ())
+    return new if before is None else with_key_not_in(new, ["key"], before, ["key"], (), distinct=False)
 
 
 def orphan_counts(quarantine: Mapping[str, DataFrame]) -> DataFrame | None:

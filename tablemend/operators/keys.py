@@ -24,7 +24,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType, NumericType, StructType
+from pyspark.sql.types import (
+    BinaryType,
+    DataType,
+    FractionalType,
+    DecimalType,
+    IntegralType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampType,
+)
 
 from tablemend.contract import ContractError
 from tablemend.functions.text import named, quoted
@@ -60,6 +70,37 @@ def _cast_to_shared(values: Sequence[str], mine: Sequence[DataType], theirs: Seq
     return out
 
 
+def coded(value: str, data_type: DataType) -> tuple[str, str]:
+    """A key value of any type as SQL for a whole number and a text, so that keys of several types fit one table.
+
+    Equal values give equal pairs; :func:`decoded` gives the value back.
+    """
+    if isinstance(data_type, IntegralType):
+        return f"CAST({value} AS BIGINT)", "''"
+    if isinstance(data_type, TimestampType):
+        return f"unix_micros({value})", "''"
+    if isinstance(data_type, BinaryType):
+        return "0L", f"hex({value})"
+    if isinstance(data_type, FractionalType) and not isinstance(data_type, DecimalType):
+        # 0.0 and -0.0 are one key.
+        return "0L", f"CAST({value} + 0 AS STRING)"
+    return "0L", value if isinstance(data_type, StringType) else f"CAST({value} AS STRING)"
+
+
+def decoded(whole: str, text: str, data_type: DataType) -> str:
+    """SQL for the value behind the pair that :func:`coded` made of it."""
+    if isinstance(data_type, TimestampType):
+        return f"timestamp_micros({whole})"
+    if isinstance(data_type, BinaryType):
+        return f"unhex({text})"
+    return f"CAST({whole if isinstance(data_type, IntegralType) else text} AS {data_type.simpleString()})"
+
+
+def check_types(mine: DataType, theirs: DataType) -> None:
+    """Raise where keys of two types cannot be compared."""
+    _cast_to_shared(["x"], [mine], [theirs])
+
+
 def _lookup(
     df: DataFrame,
     columns: Sequence[str],

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Collection, Iterable, Mapping
 from dataclasses import dataclass, field
+from typing import Literal
 
 from pyspark.sql import DataFrame
 
 from tablemend.contract import Catalog
 from tablemend.operators.dedup import DedupRule, deduplicate_all
 from tablemend.operators.enrich import Collisions, join_all
-from tablemend.operators.hierarchy import reduce_to_deepest
+from tablemend.operators.hierarchy import reduce_to_deepest, reduce_to_deepest_of_all
 from tablemend.operators.integrity import sweep
 from tablemend.operators.normalize import normalize_all
 from tablemend.plans.stages import STAGES, StageStore
@@ -21,13 +22,19 @@ DEFAULT_STAGES = ("NORMALIZE", "DEDUP", "INTEGRITY", "JOIN")
 
 @dataclass(frozen=True)
 class ReduceRule:
-    """Which table links items to the nodes of which tree."""
+    """Which table links items to the nodes of which tree.
+
+    ``levels`` "one" looks at direct parents only; "all" at every node above,
+    which takes a ``work_dir``; "closed" says that the tree lists those itself,
+    as a table of paths does.
+    """
 
     tree: str
     item: str
     node: str
     tree_node: str
     tree_parent: str
+    levels: Literal["one", "all", "closed"] = "one"
 
 
 @dataclass(frozen=True)
@@ -87,7 +94,7 @@ def clean(
         if stage == "NORMALIZE":
             current = normalize_all(catalog, current)
         elif stage == "DEDUP":
-            current = deduplicate_all(catalog, current, dedup_rules or {})
+            current = deduplicate_all(catalog, current, dedup_rules or {}, work_dir)
         elif stage == "INTEGRITY":
             current, quarantine = sweep(
                 catalog, current, transitive, zero_as_null, work_dir, write_once=work_dir is not None
@@ -95,7 +102,7 @@ def clean(
             if store is not None:
                 quarantine = store.save_quarantine(quarantine)
         elif stage == "REDUCE":
-            current = _reduce_all(current, reduce_rules or {})
+            current = _reduce_all(current, reduce_rules or {}, work_dir)
         elif stage == "JOIN":
             current = join_all(catalog, current, collisions)
         if store is not None and (keep is None or stage in keep):
@@ -103,11 +110,18 @@ def clean(
     return Cleaned(current, quarantine)
 
 
-def _reduce_all(tables: Mapping[str, DataFrame], rules: Mapping[str, ReduceRule]) -> dict[str, DataFrame]:
+def _reduce_all(
+    tables: Mapping[str, DataFrame], rules: Mapping[str, ReduceRule], work_dir: str | None
+) -> dict[str, DataFrame]:
     out = dict(tables)
     for name, rule in rules.items():
-        if name in out:
-            out[name] = reduce_to_deepest(
-                out[name], tables[rule.tree], rule.item, rule.node, rule.tree_node, rule.tree_parent
-            )
+        if name not in out:
+            continue
+        given = (out[name], tables[rule.tree], rule.item, rule.node, rule.tree_node, rule.tree_parent)
+        if rule.levels == "one":
+            out[name] = reduce_to_deepest(*given, work_dir)
+        elif work_dir is None:
+            raise ValueError(f"{name}: reducing links over all levels needs a work_dir")
+        else:
+            out[name] = reduce_to_deepest_of_all(*given, work_dir, closed=rule.levels == "closed")
     return out

@@ -149,15 +149,20 @@ def load_tables(
     catalog: Catalog,
     tables: Mapping[str, DataFrame],
     append: Callable[[DataFrame, str], None],
+    deferred: bool = False,
 ) -> list[str]:
     """Project every table to its target and append it, referred-to tables first.
 
     ``append`` gets the projected rows and the target table's name, usually
     :func:`append_table` with its options bound. Returns the targets loaded.
+    Tables that refer to each other in a cycle have no such order. They are
+    loaded one after another only if ``deferred`` says that the database does not
+    check references before all are there.
     """
     joins = catalog.join_map()
     loaded = []
-    for name in catalog.load_order(tables):
+    order = [n for group in catalog.load_groups(tables) for n in group] if deferred else catalog.load_order(tables)
+    for name in order:
         spec = catalog[name]
         joined = [catalog[d] for d in joins.get(name, ()) if d not in tables]
         append(project_to_target(tables[name], spec, joined), spec.target_name)
