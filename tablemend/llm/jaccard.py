@@ -3,7 +3,7 @@
 Two sets that overlap enough must share words in their first few under *any* order that all sets use. So a document
 has to pass one order after the other, and a pair must be a candidate under each before it is verified:
 
-1. Equal sets become one class by a 128-bit fingerprint; one representative goes on.
+1. Equal sets become one class, by a digest of their words; one representative goes on.
 2. First order (by hash): a set with a partner shares at least ``need`` of its extended prefix with other sets. Counting
    the prefix words of all sets shows which sets do; most documents end here.
 3. Second order (by another hash), for those left, with a longer prefix. Within it a third order, rarest first,
@@ -12,6 +12,8 @@ has to pass one order after the other, and a pair must be a candidate under each
    components. Sets in the hub's component need no more comparing with each other. The rest of a hub's group is
    compared in blocks with the group, inside the tasks: the filters of both orders are intersected, what remains is verified, and
    only links between different components are returned.
+5. Filters and comparisons work on 64-bit hashes of shingles, made of strong hashes of words. What they find is compared
+   once more by the words themselves, as 128-bit digests of the shingles' text, before it counts.
 
 So no row is made for a pair that is not a link or a set with its hub. Words that many documents share are counted with
 partial sums and joined by joins that adaptive execution can split. All links between different components are found; links
@@ -20,6 +22,12 @@ within a component are not needed for the groups and not listed.
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
+from hashlib import blake2b, sha256
+from itertools import islice
+from re import compile as pattern
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +41,10 @@ ship(__name__)
 
 #: Sets of a hub's group that are compared at a time, on either side.
 BLOCK = 256
+#: Bytes beyond which a text's words are not listed all at once, and shingles that are digested at a time.
+LONG = 1 << 22
+AT_ONCE = 1 << 20
+WORD = pattern(rb"[^ \t-\r]+")
 SECOND = 0x5851F42D4C957F2D
 
 
@@ -84,7 +96,7 @@ def shingle_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
 
     A text with fewer words is one shingle, its whole sequence; one without words has none. A to Z are made small.
     """
-    found = words_of(texts, small=True)
+    found = words_of(texts, small=True, strong=True)
     counts = np.diff(found.first)
     text_of = found.text_of()
     whole = grams(found.hashes, words)
@@ -120,20 +132,78 @@ def _sets_of(batch, column: int, words: int) -> tuple[np.ndarray, np.ndarray]:
     return _joined([shingle_sets(texts[a:b], words) for a, b in runs(texts)] or [(np.zeros(0, np.uint64), np.zeros(1, np.int64))])
 
 
+def _shingles(text: str, words: int) -> Iterator[bytes]:
+    """The shingles of a text, word for word, repeated ones included."""
+    raw = text.encode().lower()  # of bytes: A to Z alone
+    if len(raw) <= LONG:
+        found = raw.split()
+        if 0 < len(found) < words:
+            return iter([b" ".join(found)])
+        return map(b" ".join, zip(*(found[i:] for i in range(words))))
+    return _long_shingles(raw, words)
+
+
+def _long_shingles(raw: bytes, words: int) -> Iterator[bytes]:
+    last: deque[bytes] = deque(maxlen=words)
+    count = 0
+    for word in WORD.finditer(raw):
+        last.append(word[0])
+        count += 1
+        if count >= words:
+            yield b" ".join(last)
+    if 0 < count < words:
+        yield b" ".join(last)
+
+
+def digests_of(text: str, words: int) -> np.ndarray:
+    """A digest of every distinct shingle, ascending: 128 bits, of which no two different texts are known to agree."""
+    shingles, found = _shingles(text, words), np.zeros(0, dtype="S16")
+    while part := list(islice(shingles, AT_ONCE)):
+        made = b"".join([blake2b(x, digest_size=16).digest() for x in part])
+        found = np.union1d(found, np.frombuffer(made, dtype="S16"))
+    return found
+
+
 def _sketches(frame: DataFrame, rule: Rule) -> DataFrame:
-    """``(key, row, n, f1, f2)``: the size of every set and its fingerprint."""
+    """``(key, row, n, print)``: the size of every set and a digest of it, by its words."""
     words = rule.words
 
     def run(batch):
-        values, begin = _sets_of(batch, 2, words)
-        totals = []
-        for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(values ^ np.uint64(salt)), dtype=np.uint64)])
-            totals.append((sums[begin[1:]] - sums[begin[:-1]]).view(np.int64))
-        return {"key": batch.column(0), "row": batch.column(1), "n": np.diff(begin), "f1": totals[0], "f2": totals[1]}
+        sizes, prints = [], []
+        for text in batch.column(2):
+            found = digests_of(text.as_py(), words)
+            sizes.append(len(found))
+            prints.append(sha256(found.tobytes()).digest())
+        return {"key": batch.column(0), "row": batch.column(1), "n": sizes, "print": prints}
 
     kind = frame.schema["key"].dataType.simpleString()
-    return in_batches(frame.select("key", "row", "text"), run, f"key {kind}, row long, n long, f1 long, f2 long")
+    return in_batches(frame.select("key", "row", "text"), run, f"key {kind}, row long, n long, print binary")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs ``(a, b)`` that link by their words."""
+    words = rule.words
+    first = texts.select(F.col("row").alias("a"), F.col("text").alias("ta"))
+    second = texts.select(F.col("row").alias("b"), F.col("text").alias("tb"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "ta", "b", "tb")
+
+    def run(batch):
+        known: dict[int, np.ndarray] = {}  # a hub's text comes many times
+        keep = []
+        a, b = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        for i in range(len(a)):
+            for row, column in ((a[i], 1), (b[i], 3)):
+                if row not in known:
+                    if len(known) > 200:
+                        known.clear()
+                    known[row] = digests_of(batch.column(column)[i].as_py(), words)
+            x = known[a[i]] if a[i] in known else digests_of(batch.column(1)[i].as_py(), words)
+            shared = len(np.intersect1d(x, known[b[i]], assume_unique=True))
+            keep.append(rule.links(shared, len(x), len(known[b[i]])))
+        keep = pa.array(keep, pa.bool_())
+        return {"a": batch.column(0).filter(keep), "b": batch.column(2).filter(keep)}
+
+    return in_batches(both, run, "a long, b long")
 
 
 def in_order(values: np.ndarray, begin: np.ndarray, order: int) -> np.ndarray:
@@ -292,7 +362,7 @@ def similar_groups(
 
     A document's set are its distinct shingles of ``words`` words (anything but ASCII white space; A to Z made small); with
     fewer words, the whole sequence. Documents link when ``den * intersection >= num * union``. ``component_id`` is the
-    smallest key that can be reached by links, the own one included. A text that is null or has no words is linked with
+    smallest key that can be reached by links, the own one included. Texts of any length are taken whole. A text that is null or has no words is linked with
     nothing. Rows that share a key are documents each. A null key is no name for a group that has another. ``leads`` is true for
     one row of each group: the one with the smallest key (and for each row without words).
     """
@@ -304,9 +374,9 @@ def _groups(frame: DataFrame, words: int, num: int, den: int) -> DataFrame:
     sketches = stored(_sketches(frame, rule))
     classes = stored(
         sketches.where("n > 0")
-        .groupBy("n", "f1", "f2")
+        .groupBy("n", "print")
         .agg(F.min(F.struct(F.col("key").isNull(), F.col("key"), F.col("row"))).alias("least"), F.min("row").alias("rep"))
-        .select("n", "f1", "f2", "rep", F.col("least.key").alias("least_key"), F.col("least.row").alias("least_row"))
+        .select("n", "print", "rep", F.col("least.key").alias("least_key"), F.col("least.row").alias("least_row"))
     )
     texts = frame.select("row", "text")
     first = _shared_words(_words_of_prefix(only(texts, classes.select(F.col("rep").alias("row")), "row"), rule, 1))
@@ -316,9 +386,11 @@ def _groups(frame: DataFrame, words: int, num: int, den: int) -> DataFrame:
     keys = stored(_keys(_shared_words(_words_of_prefix(only(texts, left, "row"), rule, 2)), columns))
     members = stored(_members(keys))
     involved = stored(members.select("row").unionAll(members.select(F.col("hub").alias("row"))).distinct())
-    sets = stored(_whole_sets(only(texts, involved, "row"), rule))
-    links = stored(_verified(members.select(F.col("row").alias("a"), F.col("hub").alias("b")), sets, rule, columns))
-    rest = _rest(members, components(links), sets, rule)
+    whole = only(texts, involved, "row")
+    sets = stored(_whole_sets(whole, rule))
+    found = stored(_verified(members.select(F.col("row").alias("a"), F.col("hub").alias("b")), sets, rule, columns))
+    links = stored(_confirmed(found, whole, rule))
+    rest = _confirmed(_rest(members, components(links), sets, rule).distinct(), whole, rule)
     return _labelled(sketches, classes, components(links.unionAll(rest)))
 
 
@@ -339,17 +411,16 @@ def _labelled(sketches: DataFrame, classes: DataFrame, groups: DataFrame) -> Dat
         F.min(F.struct(F.col("least_key").isNull(), F.col("least_key"), F.col("least_row"))).alias("least")
     )
     named = named.join(smallest, "component").select(
-        "n", "f1", "f2", F.col("least.least_key").alias("group_key"), F.col("least.least_row").alias("group_row")
+        "n", "print", F.col("least.least_key").alias("group_key"), F.col("least.least_row").alias("group_row")
     )
     # Written, so that the last join has plain exchanges on both sides: a class with a third of the rows can be split.
-    of_class = classes.join(named, ["n", "f1", "f2"], "left").select(
+    of_class = classes.join(named, ["n", "print"], "left").select(
         "n",
-        "f1",
-        "f2",
+        "print",
         F.when(F.col("group_row").isNull(), F.col("least_key")).otherwise(F.col("group_key")).alias("group_key"),
         F.coalesce("group_row", "least_row").alias("group_row"),
     )
-    joined = sketches.join(stored(of_class), ["n", "f1", "f2"], "left")
+    joined = sketches.join(stored(of_class), ["n", "print"], "left")
     return joined.select(
         "row",
         "key",

@@ -1,15 +1,18 @@
 """Words of many texts at once, as arrays: where they stand and a 64-bit hash of each.
 
 A hash is a polynomial in the word's bytes, modulo 2^64, taken from running sums over the whole run of texts, so no step
-loops over words. Equal words have equal hashes; whoever needs certainty compares the bytes.
+loops over words. Equal words have equal hashes, and so do some others that are easy to find; whoever needs certainty compares
+the bytes. ``strong`` hashes are cut from a cryptographic digest, worked out once for every distinct word of the run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
 
 from tablemend.llm.common import ship
 
@@ -70,7 +73,13 @@ class Words:
         return len(self.starts)
 
 
-def words_of(texts: Sequence[str | bytes], separators: np.ndarray = WHITE, small: bool = False) -> Words:
+def strong_hash(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+
+
+def words_of(
+    texts: Sequence[str | bytes], separators: np.ndarray = WHITE, small: bool = False, strong: bool = False
+) -> Words:
     """All words of the texts. ``small`` makes A to Z small before hashing."""
     raw = [t.encode() if isinstance(t, str) else t for t in texts]
     data = np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8)
@@ -82,6 +91,13 @@ def words_of(texts: Sequence[str | bytes], separators: np.ndarray = WHITE, small
     starts, ends = edge[0::2], edge[1::2]
     text_starts = np.cumsum([0] + [len(r) + 1 for r in raw])
     first = np.searchsorted(starts, text_starts)
+    if strong:
+        offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+        letters = pa.py_buffer(data[~separators[data]])
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), letters])
+        coded = coded.dictionary_encode()
+        table = np.array([strong_hash(w) for w in coded.dictionary.to_pylist()], dtype=np.uint64)
+        return Words(data, starts, ends, first, table[coded.indices.to_numpy()])
     hashes = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):

@@ -291,3 +291,42 @@ def test_pipeline(spark):
         else:
             assert rows.keys() == before.keys() and all(r.n_tokens == len(r.ids) for r in rows.values())
         docs, before = after, rows
+
+
+def _mirrored(letters):
+    """A word and its mirror image that polynomial hashes cannot tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(letters)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_collide_in_a_weak_hash_do_not_link(spark):
+    one, other = _mirrored(2048)
+    rows = [(1, one), (2, other), (3, f"{one} x y"), (4, f"{other} x y"), (5, f"{one.upper()} x  y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.grouped(df, 3, 90, 100).collect())) == [(1, 1, 1), (2, 1, 2), (3, 1, 3), (4, 1, 4), (5, 1, 3)]
+
+
+def test_equal_hashes_of_all_words_change_no_group(spark, monkeypatch):
+    from tablemend.llm import words
+
+    pick = random.Random(4)
+    texts = [" ".join(pick.choices("abcdefgh", k=pick.randrange(1, 9))) for _ in range(40)]
+    texts += [t + " " + t for t in texts[:10]] + texts[:5] + ["a b c d e f g h i j k", "a b c d e f g h i j k l"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted(map(tuple, jaccard.grouped(df, 2, 80, 100).collect()))
+    monkeypatch.setattr(words, "strong_hash", lambda word: 7)
+    assert sorted(map(tuple, jaccard.grouped(df, 2, 80, 100).collect())) == want
+
+
+def test_long_texts_have_the_same_shingles(monkeypatch):
+    text = " a B\tc\nc a b  c é\x0bz " * 20
+    want = jaccard.digests_of(text, 3)
+    monkeypatch.setattr(jaccard, "LONG", 5)
+    monkeypatch.setattr(jaccard, "AT_ONCE", 4)
+    assert jaccard.digests_of(text, 3).tolist() == want.tolist()
+    for short in ("", "  ", "one", "one two", "one two three"):
+        monkeypatch.setattr(jaccard, "LONG", 1 << 22)
+        plain = jaccard.digests_of(short, 3)
+        monkeypatch.setattr(jaccard, "LONG", 0)
+        assert jaccard.digests_of(short, 3).tolist() == plain.tolist()
+        assert len(plain) == bool(short.split())
