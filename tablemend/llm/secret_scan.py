@@ -12,6 +12,7 @@ import base64
 import json
 import re
 import zlib
+from bisect import bisect_left
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -61,11 +62,15 @@ PATTERNS = {
     "github": re.compile(r"gh[pousr]_([0-9A-Za-z]{36})(?![0-9A-Za-z])"),
     "npm": re.compile(r"npm_([0-9A-Za-z]{36})(?![0-9A-Za-z])"),
     "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    "pem": re.compile(r"-----BEGIN ([A-Z ]{0,32}PRIVATE KEY)-----[A-Za-z0-9+/=\s:,-]*?-----END \1-----"),
     "slack": re.compile(r"xox[bpas]-[0-9A-Za-z]+(?:-[0-9A-Za-z]+)+"),
     "google": re.compile(r"AIza[0-9A-Za-z_-]{35}(?![0-9A-Za-z_-])"),
     "stripe": re.compile(r"[sr]k_live_[0-9A-Za-z]{24,}"),
 }
+#: A key in PEM form: its first line, what may stand up to its last line, and where last lines begin, overlapping or not.
+PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z ]{0,32}PRIVATE KEY)-----")
+PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s:,-]*")
+PEM_END = re.compile(r"(?=-----END ([A-Z ]{0,32}PRIVATE KEY)-----)")
+JWT_PART = re.compile(r"[A-Za-z0-9_-]+")
 HEX = re.compile(r"[0-9a-f]+")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 HEX_LETTERS = frozenset("0123456789abcdef")
@@ -84,7 +89,7 @@ def checksum62(body: str) -> str:
 def _decodes(part: str) -> bool:
     try:
         return "alg" in json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4)))
-    except (ValueError, TypeError):
+    except (ValueError, TypeError, RecursionError):  # not JSON, no object, or nested too deep for one
         return False
 
 
@@ -119,15 +124,57 @@ def lowered(text: str) -> str:
     return small if len(small) == len(text) else text.translate(TO_LOWER)
 
 
+class PemKeys:
+    """Where the keys in PEM form end. Last lines are listed once for a text, and each run that may be a body is read once."""
+
+    def __init__(self, text: str):
+        self._text = text
+        self._ends: dict[str, list[int]] | None = None
+        self._run = (0, 0)
+
+    def end_of(self, start: int) -> int | None:
+        """The end of the key that begins here: the nearest last line with its label, if only a body lies between."""
+        begin = PEM_BEGIN.match(self._text, start)
+        if not begin:
+            return None
+        if self._ends is None:
+            self._ends = {}
+            for end in PEM_END.finditer(self._text):
+                self._ends.setdefault(end[1], []).append(end.start())
+        body, label = begin.end(), begin[1]
+        if not self._run[0] <= body < self._run[1]:
+            self._run = body, PEM_BODY.match(self._text, body).end()
+        ends = self._ends.get(label, [])
+        at = bisect_left(ends, body)
+        if at == len(ends) or ends[at] > self._run[1]:
+            return None
+        return ends[at] + len(f"-----END {label}-----")
+
+
 def find(text: str) -> list[Span]:
-    """All spans of a text, leftmost and not overlapping within a kind. A match that fails its check is passed over whole."""
+    """All spans of a text, leftmost and not overlapping within a kind. A match that fails its check is passed over whole.
+
+    The time is in proportion to the length of the text, whatever it holds.
+    """
     spans: list[Span] = []
     passed = dict.fromkeys(KINDS, 0)
     hits = [(end - size + 1, kind) for end, (size, kind) in automaton().iter(lowered(text))]
     if len(hits) > 1:
         hits.sort()
+    keys = PemKeys(text)
     for start, kind in hits:
-        if start < passed[kind] or not (match := PATTERNS[kind].match(text, start)):
+        if start < passed[kind]:
+            continue
+        if kind == "pem":
+            if end := keys.end_of(start):
+                passed[kind] = end
+                spans.append((start, end, kind))
+            continue
+        match = PATTERNS[kind].match(text, start)
+        if not match:
+            if kind == "jwt" and text.startswith("eyJ", start):
+                # Every later start in the same run of letters comes to the same end of it.
+                passed[kind] = JWT_PART.match(text, start).end()
             continue
         passed[kind] = match.end()
         if holds(kind, match):
@@ -193,12 +240,12 @@ def _without(text: str, mark: str) -> str:
 
 def digests(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_assign, n_access, n_hex, base_sha256, spans)``: the findings of ``scan``, counted and joined."""
-    frame = scan(documents, key, text).toDF("key", "spans")
+    frame = texts_of(documents, key, text).toDF("key", "text")
 
     def run(batch):
         columns = {name: [] for name in ("n_assign", "n_access", "n_hex", "base_sha256", "spans")}
-        for row in batch.column(1).to_pylist():
-            spans = [(s["start"], s["stop"], s["kind"]) for s in row]
+        for value in batch.column(1):
+            spans = find(value.as_py())
             base = [s for s in spans if s[2] in BASE_KINDS]
             for kind in BASE_KINDS:
                 columns[f"n_{kind}"].append(sum(s[2] == kind for s in base))

@@ -1,8 +1,10 @@
 """Personal data, secrets, encoding, quality and language against brute force, the library, and held-out labels."""
 
+import base64
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tablemend.llm import boosting, bpe, language, pii, quality, secret_scan
+from tablemend.llm import boosting, bpe, language, line_dedup, pii, quality, secret_scan
 from tablemend.llm.queries import QUERIES
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -252,3 +254,71 @@ def test_language_of_odd_texts(spark):
     assert found[200].score == 0 and language.identify_held_out(df.limit(0)).count() == 0
     assert {r.lang_pred for r in language.identify_held_out(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert language.family_of("de-AT") == "germanic" and language.family_of("xx") == "only xx"
+
+
+# --- hostile texts --------------------------------------------------------------
+
+
+def _in_seconds(limit, run):
+    start = time.perf_counter()
+    run()
+    assert time.perf_counter() - start < limit
+
+
+MB = 1 << 20
+HOSTILE = {
+    "jwt": "eyJ" * (MB // 3),
+    "jwt_parts": "eyJa." * (MB // 5),
+    "pem": "-----BEGIN RSA PRIVATE KEY-----\n" * (MB // 32),
+    "pem_labels": "".join(f"-----BEGIN {chr(65 + i % 26)}{chr(65 + i // 26 % 26)}{chr(65 + i // 676)} PRIVATE KEY-----" for i in range(17000)),
+    "pem_ends": "-----BEGIN PRIVATE KEY-----" * 20000 + "!" + "-----END PRIVATE KEY-----" * 20000,
+    "assign": "password " * (MB // 9),
+    "assign_blanks": "token" + " " * MB,
+    "slack": "xoxb-" * (MB // 5),
+    "hex": "0123456789abcdef" * (MB // 16),
+    "access": "AKIA" * (MB // 4),
+}
+
+
+@pytest.mark.parametrize("name", sorted(HOSTILE))
+def test_secrets_in_time(name):
+    _in_seconds(10, lambda: secret_scan.find(HOSTILE[name]))
+
+
+def test_secret_in_deep_json():
+    deep = base64.urlsafe_b64encode(('{"a":' + "[" * 200_000).encode()).decode().rstrip("=")
+    good = base64.urlsafe_b64encode(b'{"alg":"HS256"}').decode().rstrip("=")
+    assert secret_scan.find(f"{deep}.eyJ9.x {good}.eyJ9.x") == [(len(deep) + 8, len(deep) + 8 + len(good) + 7, "jwt")]
+
+
+def test_pem_keys_equal_one_pattern():
+    whole = re.compile(r"-----BEGIN ([A-Z ]{0,32}PRIVATE KEY)-----[A-Za-z0-9+/=\s:,-]*?-----END \1-----")
+    pick = random.Random(2)
+    pieces = ["-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----", "-----BEGIN A PRIVATE KEY-----", "-----END A PRIVATE KEY-----",
+              "abc+/=", "\n", "!", "-----", "END PRIVATE KEY-----", "-----BEGIN "]
+    for _ in range(3000):
+        text = "".join(pick.choice(pieces) for _ in range(pick.randrange(14)))
+        want = [m.span() for m in whole.finditer(text)]
+        assert [(s, e) for s, e, kind in sorted(secret_scan.find(text)) if kind == "pem"] == want, text
+
+
+def test_jwt_equals_one_pattern():
+    whole = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+    good = base64.urlsafe_b64encode(b'{"alg":1}').decode().rstrip("=")
+    pick = random.Random(5)
+    for _ in range(3000):
+        text = "".join(pick.choice([good, "eyJ", "EYJ", ".", "a", " ", "-"]) for _ in range(pick.randrange(12)))
+        want = [m.span() for m in whole.finditer(text) if secret_scan._decodes(m[1])]
+        assert [(s, e) for s, e, kind in sorted(secret_scan.find(text)) if kind == "jwt"] == want, text
+
+
+def test_pages_in_time(spark):
+    pages = ["<" * MB, "<script>" * (MB // 8), "<!--" * (MB // 4), "<style " * (MB // 7), "<p " * (MB // 3), "<div/" * (MB // 5)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "page_id int, html string")
+    _in_seconds(20, lambda: df.select(F.length(line_dedup.lines_of_html(F.col("html")))).collect())
+
+
+def test_what_is_not_closed(spark):
+    pages = {"a<script>b": "a", "a<script>b<script>c</script>d": "ad", "a<!-- b": "a", "a<b c": "a<b c", "x < y <i>z</i>": "x < y z", "1<p a='2'>3": "1\n3"}
+    df = spark.createDataFrame(list(pages.items()), "html string, want string")
+    assert [r[0] for r in df.select(line_dedup.lines_of_html(F.col("html"))).collect()] == list(pages.values())
