@@ -43,7 +43,7 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             line_dedup.lines_of_html(F.col("html")).alias("text"),
         )
     )
-    return line_dedup.drop_boilerplate(pages, F.col("host"), "page_id", ratio=0.1, min_pages=5)
+    return line_dedup.drop_boilerplate(pages, F.col("host"), "page_id")
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from tablemend.llm import line_dedup
 
-_BLOCKS = rf"</?(?:{line_dedup.BLOCKS})(?:[\s/][^>]*)?>"
 _SEEN = "html"
 for _pattern in line_dedup.UNSEEN:
     _SEEN = f"regexp_replace({_SEEN}, '{_pattern}', '', 'g')"
@@ -11,7 +10,7 @@ SQL: dict[str, str] = {
     "op3_lines": f"""
         WITH p AS (
             SELECT page_id, lower(regexp_extract(url, '{line_dedup.HOST}', 1)) AS host,
-                   regexp_replace(regexp_replace({_SEEN}, '{_BLOCKS}', chr(10), 'gi'), '<[^>]*>', '', 'g') AS text
+                   regexp_replace(regexp_replace({_SEEN}, '{line_dedup.BLOCK_TAG}', chr(10), 'gi'), '{line_dedup.TAG}', '', 'g') AS text
             FROM pages
         ), l AS (
             SELECT page_id, host, line, i
@@ -22,7 +21,7 @@ SQL: dict[str, str] = {
         ), f AS (
             SELECT n.host, n.line
             FROM n JOIN (SELECT host, count(*) AS pages FROM p GROUP BY host) t ON n.host = t.host
-            WHERE n >= 5 AND n > 0.1 * pages
+            WHERE n >= {line_dedup.MIN_PAGES} AND n > {line_dedup.RATIO}::DOUBLE * pages
         ), j AS (
             SELECT l.*, f.line IS NOT NULL AS dropped
             FROM l LEFT JOIN f ON l.host = f.host AND trim(l.line) = f.line
