@@ -36,6 +36,7 @@ from tablemend.operators import (
     enforce,
     fill_defaults,
     left_join,
+    list_files,
     manifest,
     mark_key,
     normalize,
@@ -54,6 +55,7 @@ from tablemend.operators import (
     rows_with_keys,
     sweep,
     violations,
+    with_listed_presence,
     with_presence,
 )
 from tablemend.plans import ReduceRule, StageStore, clean, shared_folder
@@ -573,6 +575,12 @@ def asset_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_presence(urls.unionByName(_files_of_nations(spark, sf_dir)), sf_dir).drop("length")
 
 
+def asset_presence_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    urls = manifest(spark, ASSET_CATALOG, _tables_with_paths(spark, sf_dir))
+    paths = urls.unionByName(_files_of_nations(spark, sf_dir))
+    return with_listed_presence(paths, list_files(spark, sf_dir, _scratch(spark))).drop("length")
+
+
 def asset_publish_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every nation's customers as a file of its own; published with the nations' names, which name no file."""
     scratch = _scratch(spark)
@@ -815,6 +823,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         distinct_paths,
         asset_full_paths,
         asset_presence,
+        asset_presence_listed,
         asset_publish_counts,
         table_profile,
         quality_violations,

@@ -234,6 +234,9 @@ SQL: dict[str, str] = {
     "asset_presence": f"""
         SELECT *, path IN ('region.parquet', 'nation.parquet') AS present
         FROM ({_MANIFEST} UNION ALL {_NATION_FILES})""",
+    "asset_presence_listed": f"""
+        SELECT *, path IN ('region.parquet', 'nation.parquet') AS present
+        FROM ({_MANIFEST} UNION ALL {_NATION_FILES})""",
     "asset_publish_counts": f"""
         SELECT status, count(DISTINCT path) AS files FROM (
           SELECT 'copied' AS status, CAST(c_nationkey AS VARCHAR) AS path FROM customer

@@ -1,4 +1,11 @@
-from tablemend.operators.assets import manifest, publish, publish_counts, with_presence
+from tablemend.operators.assets import (
+    list_files,
+    manifest,
+    publish,
+    publish_counts,
+    with_listed_presence,
+    with_presence,
+)
 from tablemend.operators.dedup import (
     DedupRule,
     deduplicate,
@@ -50,6 +57,7 @@ __all__ = [
     "fill_defaults",
     "join_all",
     "left_join",
+    "list_files",
     "manifest",
     "mark_key",
     "normalize",
@@ -72,6 +80,7 @@ __all__ = [
     "violations",
     "with_key_in",
     "with_key_not_in",
+    "with_listed_presence",
     "with_presence",
     "without_columns",
 ]

@@ -64,7 +64,7 @@ def with_presence(paths: DataFrame, base_uri: str, tasks: int | None = None, thr
     would leave the base folder are not looked up and count as absent, and so do
     folders: an asset is a file.
     """
-    schema = StructType(paths.schema.fields).add("present", "boolean").add("length", "long")
+    schema = StructType(list(paths.schema.fields)).add("present", "boolean").add("length", "long")
     base_uri = _arrow_uri(base_uri)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,6 +85,63 @@ def with_presence(paths: DataFrame, base_uri: str, tasks: int | None = None, thr
     return _spread(paths, tasks).mapInArrow(look_up, schema)
 
 
+LISTING_SCHEMA = "path string, length long, folder string"
+
+
+def list_files(spark: SparkSession, base_uri: str, work_dir: str, tasks: int | None = None) -> DataFrame:
+    """All files below a folder: ``(path, length, folder)``, paths relative to it.
+
+    The tasks list the folders, one request each, level by level; every level is
+    written below ``work_dir`` and names the folders of the next. So the requests
+    grow with the folders, not with the files, and no listing reaches the
+    driver. A folder is listed by one task. A missing base folder has no files.
+    """
+    base_uri, run = _arrow_uri(base_uri), f"{work_dir.rstrip('/')}/run-{uuid4().hex}"
+    found_schema = "folder string, path string, length long, is_folder boolean"
+    target = pa.schema([("folder", pa.string()), ("path", pa.string()), ("length", pa.int64()), ("is_folder", pa.bool_())])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, base = fs.FileSystem.from_uri(base_uri)
+        base = base.rstrip("/")
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                selector = fs.FileSelector(f"{base}/{folder}".rstrip("/") or "/", allow_not_found=True)
+                infos = filesystem.get_file_info(selector)
+                columns = (
+                    [folder] * len(infos),
+                    [i.path[len(base) + 1 :] for i in infos],
+                    [i.size for i in infos],
+                    [i.type == fs.FileType.Directory for i in infos],
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
+
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folders, levels = spark.createDataFrame([("",)], "path string"), []
+    while True:
+        path = f"{run}/level-{len(levels)}"
+        folders.select("path").repartition(tasks).mapInArrow(look, found_schema).write.parquet(path)
+        levels.append(path)
+        folders = spark.read.schema(found_schema).parquet(path).where("is_folder")
+        if folders.isEmpty():
+            break
+    return spark.read.schema(found_schema).parquet(*levels).where("NOT is_folder").select("path", "length", "folder")
+
+
+def with_listed_presence(paths: DataFrame, files: DataFrame) -> DataFrame:
+    """Add ``present`` and ``length`` by joining paths to a listing, as ``list_files`` gives it.
+
+    For many paths in few folders this takes far fewer requests than
+    :func:`with_presence`, and gives the same rows: unsafe paths count as absent,
+    and so do folders; an empty step or ``.`` in a path is no step.
+    """
+    step = F.regexp_replace(F.regexp_replace("path", "(?:^|(?<=/))(?:\\.?/+)+", ""), "/{2,}", "/")
+    asked = paths.withColumn("__file", F.when(is_safe_path(F.col("path")), step))
+    listed = files.select(F.col("path").alias("__listed"), "length").distinct()
+    found = asked.join(listed, F.expr("__file = __listed"), "left")
+    present = F.col("__listed").isNotNull().alias("present")
+    return found.select(*(F.col(f"`{c}`") for c in paths.columns), present, "length")
+
+
 def publish(
     paths: DataFrame,
     base_uri: str,
