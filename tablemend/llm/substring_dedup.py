@@ -13,12 +13,14 @@ passage or a whole document that very many share makes it, is split: its parts f
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemend.llm.common import in_batches, numbered, ship
+from tablemend.llm.common import in_batches, numbered, ship, stored
 from tablemend.llm.words import Words, grams, mixed, runs, words_of
 
 ship(__name__)
@@ -29,9 +31,9 @@ BUCKET_BYTES = 4_000_000
 MIN_BUCKETS = 256
 #: Windows that are compared byte by byte at a time.
 COMPARED = 50_000
-#: Super-k-mers of a bucket that is still taken whole; an even share is about 140,000. And buckets that are split at most.
+#: Super-k-mers of a bucket that is still taken whole; an even share is about 140,000. And buckets for a task, about.
 LARGE = 300_000
-MAX_SPLIT = 65_536
+BUCKETS_A_TASK = 4
 RANGES = "row long, low int, high int"
 #: The place of a document without a key: after all others.
 LAST = (1 << 63) - 1
@@ -203,22 +205,28 @@ def _ranges(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Table:
     return pa.table({"row": pa.array(row, pa.int64()), "low": pa.array(low, pa.int32()), "high": pa.array(high, pa.int32())})
 
 
-def _solved(sent: DataFrame, window: int) -> DataFrame:
+def _digest(value: bytes) -> bytes:
+    """128 bits, of which no two different values are known to agree."""
+    return blake2b(value, digest_size=16).digest()
+
+
+def _solved(sent: DataFrame, tasks: int, window: int) -> DataFrame:
     """The repeated ranges of buckets that are taken whole."""
 
     def solve(table: pa.Table) -> pa.Table:
         return _ranges(*repeated_ranges(*_unload(table), window))
 
-    return sent.groupBy("bucket").applyInArrow(solve, RANGES)
+    return sent.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(solve, RANGES)
 
 
-def _solved_in_parts(sent: DataFrame, parts: DataFrame, window: int) -> DataFrame:
+def _solved_in_parts(sent: DataFrame, parts: DataFrame, tasks: int, window: int) -> DataFrame:
     """The same for buckets that are split: ``parts`` has their number of parts.
 
-    Every part passes on its distinct strings with the smallest order of each; from these the bucket works out
-    the smallest order of every window; and the parts compare their documents with that.
+    Every part passes on its distinct strings with the smallest order of each. Of these all windows are dealt out by
+    their digests, so that each finds its smallest order wherever its strings came from; every part gets those of its own
+    strings back and compares its documents with them. No step has all strings of a bucket in one place.
     """
-    split = sent.join(F.broadcast(parts), "bucket").withColumn("part", F.pmod(F.xxhash64("load"), "parts").cast("int"))
+    split = sent.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("load"), "parts").cast("int"))
     split = split.select("bucket", "part", "size", "n", "load")
 
     def distinct(key: tuple, table: pa.Table) -> pa.Table:
@@ -226,35 +234,51 @@ def _solved_in_parts(sent: DataFrame, parts: DataFrame, window: int) -> DataFram
         smallest: dict[bytes, int] = {}
         for o, value in zip(order.tolist(), strings):
             smallest[value] = min(smallest.get(value, o), o)
-        bucket = pa.array([key[0].as_py()] * len(smallest), pa.int64())
-        return pa.table({"bucket": bucket, "string": pa.array(list(smallest), pa.binary()), "least": pa.array(list(smallest.values()), pa.int64())})
-
-    def owners(key: tuple, table: pa.Table) -> pa.Table:
-        strings = table.column("string").to_pylist()
-        words, _, string, least = least_orders(table.column("least").to_numpy(), strings, window)
-        cuts = np.searchsorted(string, np.arange(len(strings) + 1))
-        found = {value: least[cuts[i] : cuts[i + 1]].tobytes() for i, value in enumerate(strings)}
-        bucket = pa.array([key[0].as_py()] * len(found), pa.int64())
-        return pa.table({"bucket": bucket, "string": pa.array(list(found), pa.binary()), "owners": pa.array(list(found.values()), pa.binary())})
+        return pa.table(
+            {
+                "bucket": pa.array([key[0].as_py()] * len(smallest), pa.int64()),
+                "part": pa.array([key[1].as_py()] * len(smallest), pa.int32()),
+                "string": pa.array(list(smallest), pa.binary()),
+                "name": pa.array([_digest(value) for value in smallest], pa.binary()),
+                "least": pa.array(list(smallest.values()), pa.int64()),
+            }
+        )
+
+    def windows(batch):
+        columns: dict[str, list] = {"bucket": [], "name": [], "at": [], "window": [], "least": []}
+        for bucket, string, least in zip(*(batch.column(c).to_pylist() for c in ("bucket", "string", "least"))):
+            words, name = string.split(b" "), _digest(string)
+            for at in range(len(words) - window + 1):
+                for column, value in zip(columns.values(), (bucket, name, at, _digest(b" ".join(words[at : at + window])), least)):
+                    column.append(value)
+        return columns
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _ranges(*(np.zeros(0, np.int64),) * 3)
         rows, order, start, strings = _unload(left)
-        known = dict(zip(right.column("string").to_pylist(), right.column("owners").to_pylist()))
-        least = [np.frombuffer(known[value], np.int64) for value in strings]
+        known = dict(zip(right.column("name").to_pylist(), (np.array(x, np.int64) for x in right.column("owners").to_pylist())))
+        least = [known[_digest(value)] for value in strings]
         string = np.repeat(np.arange(len(strings)), [len(x) for x in least])
         inside = np.concatenate([np.arange(len(x)) for x in least])
         of, low, high = _runs(order[string] > np.concatenate(least), inside + start[string], string, window)
         return _ranges(rows[of], low, high)
 
-    strings = split.groupBy("bucket", "part").applyInArrow(distinct, "bucket long, string binary, least long")
+    dealt = split.repartition(tasks, "bucket", "part")
+    strings = stored(dealt.groupBy("bucket", "part").applyInArrow(distinct, "bucket long, part int, string binary, name binary, least long"))
     smallest = strings.groupBy("bucket", "string").agg(F.min("least").alias("least"))
-    owned = smallest.groupBy("bucket").applyInArrow(owners, "bucket long, string binary, owners binary")
-    sent_back = owned.join(F.broadcast(parts), "bucket").select(
-        F.col("bucket").alias("to_bucket"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("to_part"), "string", "owners"
+    found = stored(in_batches(smallest, windows, "bucket long, name binary, at int, window binary, least long"))
+    owner = found.groupBy("bucket", "window").agg(F.min("least").alias("owner"))
+    owned = (
+        found.join(owner, ["bucket", "window"])
+        .groupBy("bucket", "name")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "owner"))).alias("owners"))
+        .select("bucket", "name", F.col("owners.owner").alias("owners"))
+    )
+    sent_back = strings.select("bucket", "part", "name").join(owned, ["bucket", "name"]).select(
+        F.col("bucket").alias("to_bucket"), F.col("part").alias("to_part"), "name", "owners"
     )
-    both = split.groupBy("bucket", "part").cogroup(sent_back.groupBy("to_bucket", "to_part"))
+    both = dealt.groupBy("bucket", "part").cogroup(sent_back.groupBy("to_bucket", "to_part"))
     return both.applyInArrow(compare, RANGES)
 
 
@@ -262,19 +286,19 @@ def repeated_words(frame: DataFrame, window: int = WINDOW) -> DataFrame:
     """``(row, low, high)``: ranges of words that repeat, for a frame of ``(row, place, text)`` with unique rows.
 
     A bucket with far more super-k-mers than others (a passage, or a document, that very many share) is split into parts.
-    Which are split is found by counting all; at most ``MAX_SPLIT`` are, the largest first.
+    Which are split is found by counting all.
     """
+    spark = frame.sparkSession
     size = frame.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(MIN_BUCKETS, -(-size // BUCKET_BYTES))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets // BUCKETS_A_TASK)
     sent = _send(frame, buckets, window)
-    counts = sent.groupBy("bucket").agg(F.sum("n").alias("n"))
-    large = counts.where(F.col("n") > LARGE).orderBy(F.desc("n"), "bucket").limit(MAX_SPLIT)
-    split = [(r["bucket"], -(-r["n"] // LARGE)) for r in large.collect()]
-    if not split:
-        return _solved(sent, window)
-    parts = frame.sparkSession.createDataFrame(split, "bucket long, parts int")
-    whole = sent.join(F.broadcast(parts), "bucket", "left_anti")
-    return _solved(whole, window).unionAll(_solved_in_parts(sent, parts, window))
+    counts = sent.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > LARGE)
+    parts = stored(counts.select("bucket", F.ceil(F.col("n") / LARGE).cast("int").alias("parts")))
+    if parts.isEmpty():
+        return _solved(sent, tasks, window)
+    whole = sent.join(parts, "bucket", "left_anti")
+    return _solved(whole, tasks, window).unionAll(_solved_in_parts(sent, parts, tasks, window))
 
 
 def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
