@@ -5,22 +5,22 @@ so a passage with a few changed words still meets the benchmark in some seed: ea
 three were changed do, wherever the changes are. Every hit names an item and an alignment; there the words are compared
 one by one, and the longest stretch is taken of which at least four fifths are equal.
 
-The seeds of the benchmark go to the tasks by broadcast, in blocks of at most ``BLOCK_WORDS`` words. A benchmark of more
-words takes several passes over the documents, one for each block. Documents are never shuffled, so a passage that many
-of them share is no hot key.
+A benchmark of at most ``BLOCK_WORDS`` words goes to the tasks by broadcast, and documents are read once and never shuffled.
+A larger one stays where it is: the seeds of both sides become rows, those of documents only where a sieve over the
+benchmark's seeds, of bounded size, lets them through. They are joined, and documents and items that have a hit are brought
+together to be verified in the same way.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemend.llm.common import in_batches, share, ship, texts_of
+from tablemend.llm.common import in_batches, numbered, share, ship, stored, texts_of
 from tablemend.llm.words import NOT_ALNUM, Words, mixed, runs, words_of
 
 ship(__name__)
@@ -31,6 +31,8 @@ MASKS = ((0, 2, 6, 7, 8), (0, 2, 3, 4, 8), (0, 1, 5, 6, 8), (0, 1, 2, 7, 8))
 MIN_WORDS = 13
 BLOCK_WORDS = 500_000
 SIEVE_BITS = 22
+#: The same for the sieve of a benchmark that is joined; the driver gets as many bits, 2 MB.
+JOINED_SIEVE_BITS = 24
 
 
 def seeds(hashes: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
@@ -59,7 +61,7 @@ class Benchmark:
 
 
 def prepare(items: list, texts: list[str]) -> Benchmark:
-    words = words_of([t.lower() for t in texts], NOT_ALNUM)
+    words = words_of([t.lower() for t in texts], NOT_ALNUM, strong=True)
     found, item, offset = [], [], []
     for i in range(len(items)):
         own = words.hashes[words.first[i] : words.first[i + 1]]
@@ -85,7 +87,7 @@ def longest_stretch(equal: np.ndarray) -> tuple[int, int]:
 
 def leaks(texts: list[str], benchmark: Benchmark, sieve: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """``(text, item, start, words, equal words)``: the longest stretch of each item in each text, if long enough."""
-    words = words_of([t.lower() for t in texts], NOT_ALNUM)
+    words = words_of([t.lower() for t in texts], NOT_ALNUM, strong=True)
     text_of, places = words.text_of(), set()
     whole = np.flatnonzero(text_of[: max(0, len(words) - SPAN + 1)] == text_of[SPAN - 1 :])
     for mask in MASKS:
@@ -96,11 +98,16 @@ def leaks(texts: list[str], benchmark: Benchmark, sieve: np.ndarray) -> list[tup
         at = np.repeat(at, count)
         entry = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         places |= set(zip(text_of[at].tolist(), benchmark.item[entry].tolist(), (at - benchmark.offset[entry]).tolist()))
+    return _verified(words, benchmark.words, places)
+
+
+def _verified(words: Words, items: Words, places: set[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """The longest stretch of each item in each text, from the places ``(text, item, word where the item would begin)``."""
     best: dict[tuple[int, int], tuple] = {}
     for text, item, begin in sorted(places):
-        low, high = benchmark.words.first[item], benchmark.words.first[item + 1]
+        low, high = items.first[item], items.first[item + 1]
         first, last = max(begin, words.first[text]), min(begin + high - low, words.first[text + 1])
-        equal = words.hashes[first:last] == benchmark.words.hashes[low + first - begin : low + last - begin]
+        equal = words.hashes[first:last] == items.hashes[low + first - begin : low + last - begin]
         start, end = longest_stretch(equal)
         if end - start < min(MIN_WORDS, high - low):
             continue
@@ -111,17 +118,76 @@ def leaks(texts: list[str], benchmark: Benchmark, sieve: np.ndarray) -> list[tup
     return [(t, i, int(-b), int(n), e) for (t, i), (n, b, e) in sorted(best.items())]
 
 
-def _blocks(benchmark: DataFrame, key: str, text: str, block_words: int) -> list[Benchmark]:
-    """The benchmark in blocks of about ``block_words`` words, each read by itself."""
+def _items(benchmark: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
+    """The distinct items as ``(item, text)``, and about how many words they have."""
     frame = texts_of(benchmark, key, text).toDF("item", "text").distinct()
-    total = frame.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    n = -(-total // block_words)
-    place = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, n)))
-    out = []
-    for b in range(n):
-        rows = sorted(frame.where(place == b).collect(), key=lambda r: (r[0] is None, r[0], r[1]))
-        out.append(prepare([r[0] for r in rows], [r[1] for r in rows]))
-    return out
+    return frame, frame.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+
+
+def _sent(items: DataFrame) -> Benchmark:
+    """A small benchmark, for the tasks."""
+    rows = sorted(items.collect(), key=lambda r: (r[0] is None, r[0], r[1]))
+    return prepare([r[0] for r in rows], [r[1] for r in rows])
+
+
+def _seed_rows(frame: DataFrame, schema: str, sieve: np.ndarray | None = None) -> DataFrame:
+    """``(row, seed, at)`` of every text, numbered by the first column; only what passes the sieve."""
+    sieve_of = share(frame.sparkSession, sieve)
+
+    def run(batch):
+        rows, values, places = [], [], []
+        texts, row = batch.column(1).to_pylist(), batch.column(0).to_numpy()
+        bits = sieve_of()
+        for a, b in runs(texts):
+            words = words_of([t.lower() for t in texts[a:b]], NOT_ALNUM, strong=True)
+            text_of = words.text_of()
+            whole = np.flatnonzero(text_of[: max(0, len(words) - SPAN + 1)] == text_of[SPAN - 1 :])
+            for mask in MASKS:
+                found = seeds(words.hashes, mask)[whole]
+                place = (found >> np.uint64(64 - JOINED_SIEVE_BITS)).astype(np.int64)
+                kept = slice(None) if bits is None else (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+                rows.append(row[a + text_of[whole][kept]])
+                values.append(found[kept].view(np.int64))
+                places.append((whole - words.first[text_of[whole]])[kept])
+        none = [np.zeros(0, np.int64)]
+        return dict(zip(("row", "seed", "at"), (np.concatenate(x or none) for x in (rows, values, places))))
+
+    return in_batches(frame, run, schema)
+
+
+def _joined(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """``(row, item, start_word, n_words, n_equal)`` for documents ``(row, text)`` and a benchmark of any size."""
+    numbers = stored(items.select(F.monotonically_increasing_id().alias("i"), "item", "text"))
+    seeds_of_items = stored(_seed_rows(numbers.select("i", "text"), "row long, seed long, at long").toDF("i", "seed", "offset"))
+    place = F.shiftrightunsigned("seed", 64 - JOINED_SIEVE_BITS)
+    octets = seeds_of_items.select(place.alias("p")).selectExpr("shiftright(p, 3) AS byte", "shiftleft(1, CAST(p & 7 AS INT)) AS bit")
+    bits = np.zeros(1 << JOINED_SIEVE_BITS - 3, dtype=np.uint8)
+    for batch in octets.groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow().to_batches():
+        bits[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    hits = _seed_rows(documents.select("row", "text"), "row long, seed long, at long", bits)
+    places = (
+        hits.join(seeds_of_items, "seed")
+        .select("row", "i", (F.col("at") - F.col("offset")).alias("begin"))
+        .groupBy("row", "i")
+        .agg(F.collect_set("begin").alias("begins"))
+    )
+    texts = numbers.select("i", "item", F.col("text").alias("item_text"))
+    both = stored(places).join(documents.select("row", "text"), "row").join(texts, "i")
+    kind = items.schema["item"].dataType.simpleString()
+
+    def run(batch):
+        columns: dict[str, list] = {"at": [], "start_word": [], "n_words": [], "n_equal": []}
+        for k, (begins, text, item) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("begins", "text", "item_text")))):
+            words = words_of([text.lower()], NOT_ALNUM, strong=True)
+            own = words_of([item.lower()], NOT_ALNUM, strong=True)
+            for _, _, *found in _verified(words, own, {(0, 0, b) for b in begins}):
+                for column, value in zip(columns.values(), (k, *found)):
+                    column.append(value)
+        at = pa.array(columns.pop("at"), pa.int64())
+        return {"row": batch.column(0).take(at), "item": batch.column(1).take(at), **columns}
+
+    both = both.select("row", "item", "begins", "text", "item_text")
+    return in_batches(both, run, f"row long, item {kind}, start_word int, n_words int, n_equal int")
 
 
 def find_leaks(
@@ -138,29 +204,30 @@ def find_leaks(
     Words are runs of letters and digits, in small letters; ASCII punctuation is skipped. A stretch counts from
     ``MIN_WORDS`` words of which four fifths are equal, without shifts. Items of 9 to 12 words must be found whole and
     unchanged; shorter ones prove nothing and take no part. Null and empty texts hold nothing. Repeated documents give
-    their rows each, repeated items one. Null keys are keys. An empty benchmark or table gives no rows.
+    their rows each, repeated items one. Null keys are keys. An empty benchmark or table gives no rows. Texts of any length
+    are taken whole. A benchmark of more than ``block_words`` words is joined instead of sent; the result is the same.
     """
-    spark = documents.sparkSession
+    items, n = _items(benchmark, item_key, item_text)
+    types = documents.schema[key].dataType.simpleString(), items.schema["item"].dataType.simpleString()
+    if n > block_words:
+        frame = numbered(documents, key, text)
+        found = frame.select("row", "key").join(_joined(frame, items), "row").drop("row")
+        return found.withColumnsRenamed({"key": key, "item": item_key})
+    sent = share(documents.sparkSession, _sent(items))
+
+    def run(batch):
+        rows = _batch_leaks(batch.column(1).to_pylist(), sent())
+        names = sent().items
+        return {
+            "key": batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())),
+            "item": [names[r[1]] for r in rows],
+            "start_word": [r[2] for r in rows],
+            "n_words": [r[3] for r in rows],
+            "n_equal": [r[4] for r in rows],
+        }
+
     frame = texts_of(documents, key, text).toDF("key", "text")
-    types = frame.schema["key"].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
-    schema = f"key {types[0]}, item {types[1]}, start_word int, n_words int, n_equal int"
-    parts = []
-    for block in _blocks(benchmark, item_key, item_text, block_words):
-        sent = share(spark, block)
-
-        def run(batch, sent=sent):
-            rows = _batch_leaks(batch.column(1).to_pylist(), sent())
-            names = sent().items
-            return {
-                "key": batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())),
-                "item": [names[r[1]] for r in rows],
-                "start_word": [r[2] for r in rows],
-                "n_words": [r[3] for r in rows],
-                "n_equal": [r[4] for r in rows],
-            }
-
-        parts.append(in_batches(frame, run, schema))
-    found = reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
+    found = in_batches(frame, run, f"key {types[0]}, item {types[1]}, start_word int, n_words int, n_equal int")
     return found.withColumnsRenamed({"key": key, "item": item_key})
 
 
@@ -180,15 +247,18 @@ def drop_contaminated(
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """The rows, with all their columns, that hold no benchmark item as ``find_leaks`` defines it."""
+    items, n = _items(benchmark, item_key, item_text)
+    if n > block_words:
+        frame = numbered(documents.withColumn("__key", F.lit(None).cast("long")), "__key", text, all_columns=True)
+        found = stored(_joined(frame, items).select("row").distinct())
+        return frame.join(found, "row", "left_anti").select("columns.*").drop("__key")
     at, names = documents.columns.index(text), documents.columns
-    for block in _blocks(benchmark, item_key, item_text, block_words):
-        sent = share(documents.sparkSession, block)
+    sent = share(documents.sparkSession, _sent(items))
 
-        def run(batch, sent=sent):
-            rows = _batch_leaks([t or "" for t in batch.column(at).to_pylist()], sent())
-            kept = np.ones(batch.num_rows, dtype=bool)
-            kept[[r[0] for r in rows]] = False
-            return dict(zip(names, batch.filter(pa.array(kept)).columns))
+    def run(batch):
+        rows = _batch_leaks([t or "" for t in batch.column(at).to_pylist()], sent())
+        kept = np.ones(batch.num_rows, dtype=bool)
+        kept[[r[0] for r in rows]] = False
+        return dict(zip(names, batch.filter(pa.array(kept)).columns))
 
-        documents = in_batches(documents, run, documents.schema)
-    return documents
+    return in_batches(documents, run, documents.schema)
