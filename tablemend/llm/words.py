@@ -2,17 +2,17 @@
 
 A hash is a polynomial in the word's bytes, modulo 2^64, taken from running sums over the whole run of texts, so no step
 loops over words. Equal words have equal hashes, and so do some others that are easy to find; whoever needs certainty compares
-the bytes. ``strong`` hashes are cut from a cryptographic digest, worked out once for every distinct word of the run.
+the bytes. ``strong`` hashes have no such others that are easy to find; they are worked out once for every distinct word of the run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from tablemend.llm.common import ship
 
@@ -73,8 +73,7 @@ class Words:
         return len(self.starts)
 
 
-def strong_hash(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+strong_hash = xxhash.xxh3_64_intdigest
 
 
 def words_of(
