@@ -162,14 +162,18 @@ SQL: dict[str, str] = {
             SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase, count(*) AS f
             FROM d, UNNEST([1, 2, 3]) AS v(k), UNNEST(range(1, len(words) - k + 2)) AS u(i)
             GROUP BY ALL HAVING count(*) >= 10
+        ), g AS (
+            SELECT lang || chr(9) || phrase AS id, f FROM f
         ), c AS (
             SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+        ), h AS (
+            SELECT lang, k, phrase, a, cut, lang || chr(9) || array_to_string(w[1 : cut], ' ') AS head,
+                   lang || chr(9) || array_to_string(w[cut + 1 :], ' ') AS tail
+            FROM c, UNNEST(range(1, k)) AS u(cut)
         ), s AS (
-            SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r,
-                   (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
-            FROM c, UNNEST(range(1, k)) AS u(cut), f x, f y
-            WHERE x.lang = c.lang AND x.phrase = array_to_string(w[1 : cut], ' ')
-              AND y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1 :], ' ')
+            SELECT h.lang, h.k, h.phrase, h.a, h.cut, x.f AS l, y.f AS r,
+                   (1000000::HUGEINT * h.a * h.a) // (x.f::HUGEINT * y.f) AS score
+            FROM h JOIN g x ON x.id = h.head JOIN g y ON y.id = h.tail
         ), m AS (
             SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS worst FROM s
         ), b AS (
