@@ -19,7 +19,7 @@ Two ways to the same result:
   the size of the targets; a long one is joined by shuffle.
 
 Tables that refer to each other in a cycle are cleaned together, until no more
-rows fall (:func:`sweep`).
+rows fall (:func:`sweep`). Each round there moves what the last one brought down.
 """
 
 from __future__ import annotations
@@ -48,6 +48,11 @@ from tablemend.operators.keys import (
 from tablemend.sources.files import write_table, write_tables
 
 
+#: A sweep of tables in a cycle lets Spark broadcast a list of up to this many rows, once more in every round that has
+#: one; a longer list is joined by shuffle, so that what the rounds send to the driver does not add up to the whole table.
+BROADCAST_ROWS = 100_000
+
+
 class Target:
     """A table that foreign keys point at, and its key column.
 
@@ -332,7 +337,9 @@ def _left_of_group(
     Then the keys that fell are looked up among the references, the rows that
     hold one fall, and with them the keys that no row is left of; until a round
     brings down none. A round reads the key columns of what the first step left
-    and moves the keys that just fell; every list of fallen keys is written.
+    and moves the keys that just fell and the rows of the keys they hit. All that
+    fell before is read too, but only what those rows refer to is joined to them.
+    Every list is written and counted before it is joined, see ``BROADCAST_ROWS``.
     """
     specs = {name: catalog[name] for name in group}
     cascades = {
@@ -370,29 +377,35 @@ def _left_of_group(
         name: tables[name].selectExpr(f"{quoted(spec.key_column)} AS key").where("key IS NOT NULL").distinct()
         for name, spec in specs.items()
     }
-    first = {n: with_key_not_in(given[n], ["key"], rows[n], ["key"], (), distinct=False) for n in group}
+    first = {n: with_key_not_in(given[n], ["key"], _listed(rows[n], rows[n].count()), ["key"], (), distinct=False) for n in group}
     fallen = [written(first, "fallen-0")]
+    lost = dict.fromkeys(group, 0)
     while True:
-        new = {name for name, keys in fallen[-1].items() if not keys.isEmpty()}
+        new = {name: count for name, keys in fallen[-1].items() if (count := keys.count())}
         if not new:
             break
+        lost = {n: lost[n] + new.get(n, 0) for n in group}
         paths = {n: [f"{root}/fallen-{i}/{n}" for i, step in enumerate(fallen) if n in step] for n in group}
         gone = {n: session.read.schema(rows[n].select("key").schema).parquet(*paths[n]) for n in group if paths[n]}
-        found = {}
+        last = {n: _listed(fallen[-1][n], count) for n, count in new.items()}
+        hits = {}
         for name in group:
             hit = [
-                with_key_in(rows[name], [f"ref_{i}"], fallen[-1][fk.target], ["key"]).select("key")
+                with_key_in(rows[name], [f"ref_{i}"], last[fk.target], ["key"]).select("key")
                 for i, fk in enumerate(inside[name])
                 if fk.target in new
             ]
             if hit:
-                hits = reduce(DataFrame.unionByName, hit).distinct()
-                found[name] = _fallen(rows[name], hits, inside[name], gone, gone.get(name))
-        if not found:
+                hits[name] = reduce(DataFrame.unionByName, hit).distinct()
+        if not hits:
             break
+        hits = written(hits, f"hit-{len(fallen)}")
+        held = {n: with_key_in(rows[n], ["key"], _listed(keys, keys.count()), ["key"]) for n, keys in hits.items()}
+        held = written(held, f"held-{len(fallen)}")
+        found = {n: _fallen(held[n], held[n].count(), inside[n], gone, gone.get(n)) for n in held}
         fallen.append(written(found, f"fallen-{len(fallen)}"))
     paths = {n: [f"{root}/fallen-{i}/{n}" for i, step in enumerate(fallen) if n in step] for n in group}
-    gone = {n: session.read.schema(rows[n].select("key").schema).parquet(*paths[n]) for n in group}
+    gone = {n: _listed(session.read.schema(rows[n].select("key").schema).parquet(*paths[n]), lost[n]) for n in group}
     left = {n: with_key_not_in(rows[n].select("key").distinct(), ["key"], gone[n], ["key"], ()) for n in group}
     return {n: Target(keys, "key", unique=True) for n, keys in written(left, "left").items()}
 
@@ -406,16 +419,29 @@ def _only(spec: TableSpec, keys: Sequence[ForeignKey]) -> TableSpec:
     return replace(spec, schema=StructType(fields))
 
 
+def _listed(keys: DataFrame, rows: int) -> DataFrame:
+    """Keys to join to: Spark may broadcast them only if they are few."""
+    return keys if rows <= BROADCAST_ROWS else keys.hint("merge")
+
+
 def _fallen(
-    rows: DataFrame, hit: DataFrame, refs: Sequence[ForeignKey], gone: Mapping[str, DataFrame], before: DataFrame | None
+    held: DataFrame, count: int, refs: Sequence[ForeignKey], gone: Mapping[str, DataFrame], before: DataFrame | None
 ) -> DataFrame:
-    """Of the keys that were hit, those that no row is left of and that had not fallen before."""
-    standing = with_key_in(rows, ["key"], hit, ["key"])
+    """Of the keys that were hit, those that no row is left of and that had not fallen before.
+
+    ``held`` is all rows of those keys, ``count`` their number. What fell is
+    narrowed to what they hold first: no list that is joined here is longer than they are.
+    """
+
+    def of_these(keys: DataFrame, column: str) -> DataFrame:
+        return _listed(with_key_in(keys, ["key"], _listed(held, count), [column]), count)
+
+    standing = held
     for i, fk in enumerate(refs):
         if fk.target in gone:
-            standing = with_key_not_in(standing, [f"ref_{i}"], gone[fk.target], ["key"], distinct=False)
-    new = with_key_not_in(hit, ["key"], standing, ["key"], ())
-    return new if before is None else with_key_not_in(new, ["key"], before, ["key"], (), distinct=False)
+            standing = with_key_not_in(standing, [f"ref_{i}"], of_these(gone[fk.target], f"ref_{i}"), ["key"], distinct=False)
+    new = with_key_not_in(held.select("key").distinct(), ["key"], _listed(standing, count), ["key"], ())
+    return new if before is None else with_key_not_in(new, ["key"], of_these(before, "key"), ["key"], (), distinct=False)
 
 
 def orphan_counts(quarantine: Mapping[str, DataFrame]) -> DataFrame | None:

@@ -116,6 +116,53 @@ def test_a_long_chain_through_two_tables_falls(spark, tmp_path):
     assert quarantine["a"].count() == quarantine["b"].count() == 12
 
 
+def _joined_lists(monkeypatch, most):
+    """Every list of keys that the rounds of a sweep join to: its rows, and whether it must not be broadcast."""
+    from tablemend.operators import integrity
+
+    seen = []
+
+    def watched(look_up):
+        def call(df, columns, keys, *args, **more):
+            if columns[0] == "key" or columns[0].startswith("ref_"):
+                seen.append((keys.count(), "strategy=merge" in keys._jdf.queryExecution().analyzed().toString()))
+            return look_up(df, columns, keys, *args, **more)
+
+        return call
+
+    for name in ("with_key_in", "with_key_not_in"):
+        monkeypatch.setattr(integrity, name, watched(getattr(integrity, name)))
+    monkeypatch.setattr(integrity, "BROADCAST_ROWS", most, raising=False)
+    return seen
+
+
+#: A chain of four keys in each table, beside 60 rows of ``a`` that refer to nothing as given and 30 that stay.
+CHAIN = {"a": [(i, i) for i in range(1, 5)] + [(i, 9999) for i in range(100, 160)] + [(i, 50) for i in range(200, 230)], "b": [(i, i + 1) for i in range(1, 5)] + [(50, 200)]}
+
+
+def test_a_round_does_not_move_what_fell_before_it(spark, tmp_path, monkeypatch):
+    seen = _joined_lists(monkeypatch, 1000)
+    got, _ = _sweep(spark, GRAPHS["two"], CHAIN, str(tmp_path))
+    assert got == {"a": CHAIN["a"][64:], "b": [(50, 200)]}
+    # The list of the first 60 is joined once when they fell and once at the end; what is left of a table, once.
+    assert sum(1 for rows, _ in seen if rows > 10) <= 4 and sum(rows for rows, _ in seen) < 300
+
+
+def test_long_lists_are_not_broadcast_in_the_rounds(spark, tmp_path, monkeypatch):
+    seen = _joined_lists(monkeypatch, 3)
+    got, _ = _sweep(spark, GRAPHS["two"], CHAIN, str(tmp_path))
+    assert got == {"a": CHAIN["a"][64:], "b": [(50, 200)]}
+    assert {by_shuffle for rows, by_shuffle in seen if rows > 3} == {True}
+
+
+@pytest.mark.parametrize("graph", ["three", "mixed", "nulled"])
+def test_a_cycle_is_swept_by_shuffles(spark, tmp_path, monkeypatch, graph):
+    from tablemend.operators import integrity
+
+    monkeypatch.setattr(integrity, "BROADCAST_ROWS", 1, raising=False)
+    test_a_cycle_is_swept_to_the_end(spark, tmp_path, graph)
+
+
 def test_cycles_need_a_folder(spark):
     rows = {"a": [(1, 1)], "b": [(1, 1)]}
     with pytest.raises(ContractError, match="work_dir"):
