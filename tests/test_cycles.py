@@ -155,6 +155,19 @@ def test_long_lists_are_not_broadcast_in_the_rounds(spark, tmp_path, monkeypatch
     assert {by_shuffle for rows, by_shuffle in seen if rows > 3} == {True}
 
 
+def test_the_quarantine_of_a_cycle_takes_short_lists_only(spark, tmp_path, monkeypatch):
+    # Customers from 30 on get other keys, so orders from 30 on fall, of which 30 and 60 bring down customers 3 and 6.
+    # There are no orders from 90 on, to which every third customer from 9 on refers.
+    spark.range(90).selectExpr("id AS c_custkey", "IF(id < 30, 1.0D, -1.0D) AS c_acctbal").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(90).selectExpr("id AS o_orderkey", "id AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    seen = _joined_lists(monkeypatch, 10)
+    got = queries.fk_cascade_cycle_quarantine(spark, str(tmp_path)).collect()
+    below = [(k, 10 * k, "c_orderkey", "orders") for k in range(3, 30, 3)]
+    moved = [(-1 - k, 10 * k, "c_orderkey", "orders") for k in range(30, 90, 3)]
+    assert sorted(map(tuple, got)) == sorted(below + moved)
+    assert {by_shuffle for rows, by_shuffle in seen if rows > 10} == {True}
+
+
 @pytest.mark.parametrize("graph", ["three", "mixed", "nulled"])
 def test_a_cycle_is_swept_by_shuffles(spark, tmp_path, monkeypatch, graph):
     from tablemend.operators import integrity
