@@ -49,10 +49,28 @@ def test_columns_and_registration(spark):
     assert set(QUERIES) == set(COLUMNS)
 
 
-@pytest.mark.parametrize("name", sorted(set(COLUMNS) - {"op2_decontaminate", "op4_topk"}))
+#: Their contracts give rows per part, order and step, and per phrase.
+OTHER_ROWS = {"op2_decontaminate", "op4_topk", "op12_filter_audit", "op13_collocations"}
+
+
+@pytest.mark.parametrize("name", sorted(set(COLUMNS) - OTHER_ROWS))
 def test_one_row_for_each_input_row(spark, name):
     sf_dir = "/root/testdata/sf0.001"
     df = QUERIES[name](spark, sf_dir)
     table = "pages" if name == "op3_lines" else "documents"
     assert df.columns == COLUMNS[name].split()
     assert df.count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+
+
+def test_rows_of_audit_and_collocations(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    parts = {r[0] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("coalesce(lang, '')").distinct().collect()}
+    audit = QUERIES["op12_filter_audit"](spark, sf_dir)
+    assert audit.columns == COLUMNS["op12_filter_audit"].split()
+    assert audit.count() == audit.select("part", "filter_order", "step").distinct().count() == len(parts) * 120 * 5
+    found = QUERIES["op13_collocations"](spark, sf_dir)
+    assert found.columns == COLUMNS["op13_collocations"].split()
+    ranks = {}
+    for r in found.select("lang", "rank").collect():
+        ranks.setdefault(r[0], []).append(r[1])
+    assert ranks and all(sorted(got) == list(range(1, len(got) + 1)) and len(got) <= 2000 for got in ranks.values())
